@@ -88,3 +88,12 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in lower:
         name += "_"
     return name
+
+
+def bounded_sample(df: DataFrame, key: Column | str, bound: int) -> DataFrame:
+    """About ``bound`` rows, never more, chosen by a hash of ``key``: the same rows on every run. For fitting models only."""
+    total = df.count()
+    if total <= bound:
+        return df
+    rate = int(bound / total * (1 << 62))
+    return df.where(F.xxhash64(F.lit(7), F.col(key) if isinstance(key, str) else key).bitwiseAND(F.lit((1 << 62) - 1)) < F.lit(rate)).limit(bound)
