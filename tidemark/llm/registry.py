@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("capping", "tokens", "splitting")
+MODULES = ("capping", "spelling", "truncation", "tokens", "splitting")
 
 
 def queries() -> dict:
