@@ -18,12 +18,13 @@ the smallest id being the first; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,18 +151,12 @@ def with_spelling_hash(df: DataFrame, text: str, fields: bool = True) -> DataFra
     return df.where(df[text].isNotNull()).mapInArrow(run, schema)
 
 
-@F.pandas_udf("boolean")
-def _verified(a, b):  # noqa: ANN001, ANN202
-    import pandas as pd
+def _verified(fields: bool) -> Callable[..., Column]:
+    @F.pandas_udf(T.BooleanType())
+    def verified(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([same_spelling(x, y, fields) for x, y in zip(a, b, strict=True)], dtype=bool)
 
-    return pd.Series([same_spelling(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
-
-
-@F.pandas_udf("boolean")
-def _verified_flat(a, b):  # noqa: ANN001, ANN202
-    import pandas as pd
-
-    return pd.Series([same_spelling(x, y, False) for x, y in zip(a, b, strict=True)], dtype=bool)
+    return verified
 
 
 def _pairs(rows: DataFrame, keys: list[str], fields: bool) -> DataFrame:
@@ -169,7 +164,7 @@ def _pairs(rows: DataFrame, keys: list[str], fields: bool) -> DataFrame:
     first = rows.groupBy(*keys).agg(F.min_by(F.struct("id", "text"), "id").alias("first"), F.count(F.lit(1)).alias("n"))
     first = first.where("n > 1").select(*keys, F.col("first.id").alias("first_id"), F.col("first.text").alias("first_text"), "n")
     joined = salted_join(rows, first, keys, "n", F.col("id")).where(F.col("id") > F.col("first_id"))
-    return joined.select("id", "text", "h3", "first_id", "first_text", (_verified if fields else _verified_flat)("text", "first_text").alias("same"))
+    return joined.select("id", "text", "h3", "first_id", "first_text", _verified(fields)("text", "first_text").alias("same"))
 
 
 def hidden_copies(df: DataFrame, ident: str, text: str, fields: bool = True) -> DataFrame:
@@ -213,7 +208,7 @@ def _sql(last: str) -> str:
     flat = lambda x: rf"regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}]+', '', 'g')"
     # in the query part only: text after the first question mark
     asked = "CASE WHEN instr(url, '?') > 0 THEN substr(url, instr(url, '?') + 1) ELSE '' END"
-    fields = f"list_sort(list_filter(list_transform(string_split({asked}, '&'), x -> {flat('x')}), x -> x <> ''))"
+    fields = f"list_sort(list_filter(list_transform(string_split({asked}, '&'), lambda x: {flat('x')}), lambda x: x <> ''))"
     return f"WITH rows AS ({both}), keyed AS (SELECT record_table, id, {flat('split_part(url, chr(63), 1)')} AS head, {fields} AS fields FROM rows) {last}"
 
 
