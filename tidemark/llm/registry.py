@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("capping", "residue", "spelling", "truncation", "tokens", "splitting")
+MODULES = ("capping", "residue", "spelling", "history", "truncation", "tokens", "splitting")
 
 
 def queries() -> dict:
