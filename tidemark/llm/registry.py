@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("capping", "boilerplate", "residue", "spelling", "history", "truncation", "tokens", "splitting")
+MODULES = ("capping", "boilerplate", "residue", "spelling", "history", "truncation", "tokens", "mixing", "splitting")
 
 
 def queries() -> dict:
