@@ -90,10 +90,14 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def bounded_sample(df: DataFrame, key: Column | str, bound: int) -> DataFrame:
-    """About ``bound`` rows, never more, chosen by a hash of ``key``: the same rows on every run. For fitting models only."""
-    total = df.count()
+def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
+    """About ``bound`` rows, never more, chosen by a hash of ``key``: the same rows on every run. For fitting models only.
+
+    Give it an unfiltered table: the rows are then counted from ``key`` alone, and other columns
+    are read for the chosen rows' files in one scan.
+    """
+    total = df.select(key).count()
     if total <= bound:
         return df
     rate = int(bound / total * (1 << 62))
-    return df.where(F.xxhash64(F.lit(7), F.col(key) if isinstance(key, str) else key).bitwiseAND(F.lit((1 << 62) - 1)) < F.lit(rate)).limit(bound)
+    return df.where(F.xxhash64(F.lit(7), F.col(key)).bitwiseAND(F.lit((1 << 62) - 1)) < F.lit(rate)).limit(bound)
