@@ -151,8 +151,8 @@ def score(value: str, odds: np.ndarray) -> float:
 def residue_values(df: DataFrame, ident: str, text: str, sample: int = SAMPLE) -> DataFrame:
     """ident, score, is_residue of every row whose text isn't blank."""
     require(df, ident, text)
-    rows = df.select(ident, df[text].alias("_value")).where(F.trim("_value") != "")
-    odds = fit([r[0] for r in bounded_sample(rows, ident, sample).select("_value").toLocalIterator()])
+    rows = df.select(ident, df[text].alias("_value"))
+    odds = fit([r[0] for r in bounded_sample(rows, ident, sample).where(F.trim("_value") != "").select("_value").toLocalIterator()])
     held = rows.sparkSession.sparkContext.broadcast(odds)  # fixed size: one number a hashed feature
 
     @F.pandas_udf("score double, is_residue boolean")
@@ -161,7 +161,7 @@ def residue_values(df: DataFrame, ident: str, text: str, sample: int = SAMPLE) -
             s = [score(v, held.value) for v in b]
             yield pd.DataFrame({"score": s, "is_residue": [x > SUSPECT and is_residue(v) for x, v in zip(s, b, strict=True)]})
 
-    return rows.withColumn("_j", judge("_value")).select(ident, "_j.*")
+    return rows.where(F.trim("_value") != "").withColumn("_j", judge("_value")).select(ident, "_j.*")
 
 
 FIELDS = (("digest_items", "item_id", "core_argument_en"), ("digest_items", "item_id", "why_now_en"), ("news_briefs", "brief_id", "one_sentence_en"))
