@@ -117,6 +117,13 @@ def test_residue_forms():
         assert not residue.is_residue(v), v
 
 
+def test_residue_scores_are_those_of_the_worst_passage():
+    odds = residue.fit(list(GOOD) * 30)
+    for v in (*GOOD, *BAD, "", "One. Two three! " * 40, "word " * 100):
+        direct = max((sum(odds[f] for f in p) for p in residue.passages(v)), default=-30.0)
+        assert abs(residue.Scorer(odds).score(v) - max(direct, -30.0)) < 1e-6
+
+
 def test_residue_odd_cases(spark):
     rows = [(1, None), (2, "  "), (3, "TBD"), (3, "TBD"), (4, "The council voted to extend the levy. " * 3000), (5, "The council voted. " * 3000 + "{{ title }}")]
     df = spark.createDataFrame(rows, "id long, v string")

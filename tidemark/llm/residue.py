@@ -18,6 +18,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -107,18 +108,24 @@ def tokens(text: str) -> list[str]:
     return [f"#{min(len(t), 4)}" if t.isdigit() else t.lower() for t in _TOKEN.findall(marked)]
 
 
+def _starts(t: list[str]) -> list[str]:
+    """How a sentence of these tokens begins, and its length if it is short."""
+    return ([f"^ {t[0]}", f"^ {' '.join(t[:2])}", f"^ {' '.join(t[:3])}"] if t else []) + ([f"length {min(len(t), 5)}"] if len(t) <= SPAN else [])
+
+
+def _cuts(n: int) -> range:
+    """Where the passages of a sentence of n tokens begin."""
+    return range(0, max(1, n - SPAN // 2), SPAN // 2)
+
+
 def passages(value: str) -> list[list[int]]:
-    """The hashed features of each passage: its tokens, pairs of tokens, and how it begins and ends."""
+    """The hashed features of each passage: its tokens, pairs of tokens, and how its sentence begins."""
     out = []
     for s in sentences(value):
         t = tokens(s)
-        for at in range(0, max(1, len(t) - SPAN // 2), SPAN // 2):
+        for at in _cuts(len(t)):
             part = t[at : at + SPAN]
-            f = {*part, *(f"{a} {b}" for a, b in zip(part, part[1:], strict=False))}
-            if at == 0:
-                f |= {f"^ {part[0]}", f"^ {' '.join(part[:2])}", f"^ {' '.join(part[:3])}"} if part else set()
-                if len(t) <= SPAN:
-                    f.add(f"length {min(len(t), 5)}")
+            f = [*part, *(f"{a} {b}" for a, b in zip(part, part[1:], strict=False)), *(_starts(t) if at == 0 else ())]
             out.append([zlib.crc32(x.encode()) % WIDTH for x in f])
     return out
 
@@ -144,8 +151,38 @@ def fit(values: list[str], rounds: int = ROUNDS) -> np.ndarray:
     return odds
 
 
+class Scorer:
+    """Scores of values: sums over passages as differences of running sums, weights looked up once for each distinct feature."""
+
+    def __init__(self, odds: np.ndarray) -> None:
+        self.odds, self.memo = odds.tolist(), {}
+
+    def weight(self, feature: str) -> float:
+        w = self.memo.get(feature)
+        if w is None:
+            if len(self.memo) > 1 << 18:
+                self.memo.clear()
+            w = self.memo[feature] = self.odds[zlib.crc32(feature.encode()) % WIDTH]
+        return w
+
+    def score(self, value: str) -> float:
+        """That of the worst passage."""
+        best, weight = -30.0, self.weight
+        for s in sentences(value):
+            t = tokens(s)
+            one = list(accumulate(map(weight, t), initial=0.0))
+            two = list(accumulate((weight(f"{a} {b}") for a, b in zip(t, t[1:], strict=False)), initial=0.0))
+            for at in _cuts(len(t)):
+                end = min(at + SPAN, len(t))
+                x = one[end] - one[at] + (two[end - 1] - two[at] if end > at else 0.0)
+                if at == 0:
+                    x += sum(map(weight, _starts(t)))
+                best = max(best, x)
+        return best
+
+
 def score(value: str, odds: np.ndarray) -> float:
-    return max((float(odds[p].sum()) for p in passages(value)), default=-30.0)
+    return Scorer(odds).score(value)
 
 
 def residue_values(df: DataFrame, ident: str, text: str, sample: int = SAMPLE) -> DataFrame:
@@ -157,8 +194,9 @@ def residue_values(df: DataFrame, ident: str, text: str, sample: int = SAMPLE) -
 
     @F.pandas_udf("score double, is_residue boolean")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(held.value)
         for b in batches:
-            s = [score(v, held.value) for v in b]
+            s = [scorer.score(v) for v in b]
             yield pd.DataFrame({"score": s, "is_residue": [x > SUSPECT and is_residue(v) for x, v in zip(s, b, strict=True)]})
 
     return rows.where(F.trim("_value") != "").withColumn("_j", judge("_value")).select(ident, "_j.*")
