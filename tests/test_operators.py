@@ -144,3 +144,25 @@ def test_overlap_and_scores(spark):
     assert [r.c for r in df.select(copies_span("n", "s", 3, 4).alias("c")).collect()] == [True, False, False, False]
     a = df.select(assessment(F.col("s"), F.col("n"), F.lit(True), F.lit(True), F.lit(True)).alias("a")).collect()
     assert {r.a.score for r in a} == {0}
+
+
+def test_settings_are_checked():
+    import pytest
+
+    from tidemark.config import Settings
+
+    assert Settings.of({"pool": 5}).pool == 5
+    for bad in ({"pool": 0}, {"nope": 1}, {"rolling_days": -1}, {"pool": True}):
+        with pytest.raises(ValueError):
+            Settings.of(bad)
+
+
+def test_batch_models_must_answer_every_text(spark):
+    import pytest
+
+    from tidemark.operators import scorers
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id long, text string")
+    assert {r.id: r.text_out for r in scorers.in_batches(df, "id", "text", lambda t: [x.upper() for x in t], 1).collect()} == {1: "A", 2: None, 3: "B"}
+    with pytest.raises(Exception, match="every text"):
+        scorers.in_batches(df, "id", "text", lambda t: []).collect()

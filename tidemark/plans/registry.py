@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("timestamps", "scalars", "ranking", "filters", "state", "parsing", "streams")
+MODULES: tuple[str, ...] = ("timestamps", "scalars", "ranking", "filters", "state", "parsing", "streams", "more")
 FLAGSHIP = "w_cap"
 
 
