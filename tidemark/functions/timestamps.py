@@ -6,8 +6,8 @@ values that have it: a list of fields by position. All values of a mask are then
 and converted as arrays; local times go through transition tables of their zones, taken from
 the installed IANA data, whose version :func:`zone_version` names.
 
-Defined results: null, blank, partial (month, quarter or year alone), impossible and unknown
-values have no instant; a date without a time is midnight; a fraction of a second is dropped;
+Defined results: null, blank, partial (month, quarter or year alone), impossible, unknown and
+very long values have no instant; a date without a time is midnight; a fraction of a second is dropped;
 without a zone the row's home zone holds; a local time skipped by a clock change takes the
 offset before the change, a repeated one is its first occurrence; zone letters are fixed
 offsets; a bare number of eight digits is a date, of ten or more an epoch in seconds, from
@@ -31,7 +31,8 @@ MONTHS |= {m[:3]: i for m, i in MONTHS.items()} | {"sept": 9}
 DAYS = {d[:n] for d in ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday") for n in (3, 4, 5, 9)}
 LETTERS = {"z": 0, "utc": 0, "gmt": 0, "ut": 0, "est": -300, "edt": -240, "cet": 60, "cest": 120}
 
-ISO = re.compile(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ")
+#: A longer value is no date.
+LONGEST = 120
 ZONE = re.compile(r"\[?[A-Za-z]+/[A-Za-z_+\-0-9]+(?:/[A-Za-z_]+)?\]?")
 WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
 BLANK = re.compile(r"[\s\u200b\u200c\u200d\ufeff\u00ad]+", re.UNICODE)
@@ -190,7 +191,7 @@ def normalise(values: pd.Series, zones: pd.Series, month_first: pd.Series) -> pd
     out = np.full(len(values), None, dtype=object)
     # equal values of equal zone and order are converted once
     frame = pd.DataFrame({"v": [BLANK.sub(" ", v).strip() if isinstance(v, str) else "" for v in values], "z": zones.fillna("UTC").to_numpy(), "f": month_first.fillna(False).astype(bool).to_numpy()})
-    frame["mask"] = [mask(v) if v else "" for v in frame["v"]]
+    frame["mask"] = [mask(v) if 0 < len(v) <= LONGEST else "" for v in frame["v"]]
     for shape, at in frame.groupby("mask", sort=False).indices.items():
         where = parser(shape) if shape else None
         if where is None:
