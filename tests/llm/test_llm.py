@@ -234,8 +234,8 @@ def test_truncation_held_out(spark):
 def test_truncation_cases():
     body = "The council voted to extend the levy in the northern basin. "
     model = truncation.fit([body * 3 + f"Farmers disputed the baseline of the accord number {i}." for i in range(300)])
-    whole = ["More to follow…", "Register by 3 May 2026", "(Updated 24 Apr 2026)", "Keywords: levy; accord; basin", "Watch this space…", "[…]", "(4 min read)", "Share this.", "</p>", "”", "The full brief is at https://x.example/1"]
-    cut = ["Farmers in the", "Farmers in th…", "Farmers disputed [...]", "Farmers disputed the base… Continue reading →", "Farmers</", 'Farmers <a href="htt', "Farmers&#82", "Farm�", "Farmers disputed the... Read more Share this.", "Farmers dispu”"]
+    whole = ["More to follow…", "Register by 3 May 2026", "(Updated 24 Apr 2026)", "Keywords: levy; accord; basin", "Watch this space…", "[…]", "(4 min read)", "Share this.", "</p>", "”", "[…] ”", "[...]”</p>", "The full brief is at https://x.example/1"]
+    cut = ["Farmers in the", "Farmers in th…", "Farmers disputed [...]", "Farmers disputed the base… Continue reading →", "Farmers</", 'Farmers <a href="htt', "Farmers&#82", "Farm�", "Farmers disputed the... Read more Share this.", "Farmers dispu”", "Farmers disputed […] ”"]
     assert [w for w in whole if model.score([body + w])[0] > 0.5] == []
     assert [w for w in cut if model.score([body + w])[0] < 0.5] == []
     assert model.score([None, "", "  "]) == [None, None, None]
