@@ -141,9 +141,9 @@ def s_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a page was fetched within twelve hours of the last fetch of all."""
     c = table(spark, sf_dir, "candidates")
     k = c.where("url is not null").groupBy(F.sha2("url", 256).alias("k")).agg(F.max("fetched_at").alias("kept"))
-    now = c.agg(F.max("fetched_at").alias("now"))
-    s = table(spark, sf_dir, "summary").select("summary_id", F.sha2("url", 256).alias("k")).crossJoin(F.broadcast(now))  # one row
-    return s.join(k, "k", "left").select("summary_id", F.coalesce(F.col("kept") > F.expr("now - interval 12 hours"), F.lit(False)).alias("is_fresh"))
+    now = F.lit(str(c.agg(F.max("fetched_at")).first()[0])).cast("timestamp_ntz")
+    s = table(spark, sf_dir, "summary").select("summary_id", F.sha2("url", 256).alias("k"))
+    return s.join(k, "k", "left").select("summary_id", F.coalesce(F.col("kept") > now - F.expr("interval 12 hours"), F.lit(False)).alias("is_fresh"))
 
 
 @add("s_capture", "SELECT url, arg_max(candidate_id, (fetched_at, candidate_id)) AS candidate_id FROM candidates WHERE url IS NOT NULL AND fetched_at < TIMESTAMP '2024-12-01' GROUP BY 1")

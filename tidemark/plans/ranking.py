@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -158,21 +158,23 @@ def o_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.orderBy(F.desc("n_cues"), "candidate_id").limit(25)
 
 
+def _tags_of_run(spark: SparkSession, sf_dir: str, run: int) -> Column:
+    """The tags of one run's candidates, a controlled vocabulary of a few words, as a literal."""
+    c = table(spark, sf_dir, "candidates").where(F.col("run_id") == run).select(F.explode("tags").alias("t"))
+    return F.array(*(F.lit(r["t"]) for r in c.where("t is not null").distinct().orderBy("t").limit(10_000).collect())).cast("array<string>")
+
+
 @add("o_acad", "WITH t AS (SELECT list_distinct(flatten(list(tags))) AS wanted FROM candidates WHERE run_id = 1 AND tags IS NOT NULL) SELECT reading_id, len(list_intersect(coalesce(tags, []), wanted)) AS relevance FROM readings, t ORDER BY relevance DESC, discovery_score DESC NULLS LAST, reading_id LIMIT 40")
 def o_acad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings by the tags they share with one run's candidates, then by score."""
-    wanted = table(spark, sf_dir, "candidates").where("run_id = 1 and tags is not null").select(F.explode("tags").alias("t")).agg(F.collect_set("t").alias("wanted"))  # the tags of one run: a controlled vocabulary
-    r = table(spark, sf_dir, "readings").crossJoin(F.broadcast(wanted))  # one row
-    overlap = F.size(F.array_intersect(F.coalesce("tags", F.array().cast("array<string>")), "wanted")).cast("long")
-    return r.select("reading_id", overlap.alias("relevance"), "discovery_score").orderBy(F.desc("relevance"), F.desc_nulls_last("discovery_score"), "reading_id").limit(40).select("reading_id", "relevance")
+    overlap = F.size(F.array_intersect(F.coalesce("tags", F.array().cast("array<string>")), _tags_of_run(spark, sf_dir, 1))).cast("long")
+    return table(spark, sf_dir, "readings").select("reading_id", overlap.alias("relevance"), "discovery_score").orderBy(F.desc("relevance"), F.desc_nulls_last("discovery_score"), "reading_id").limit(40).select("reading_id", "relevance")
 
 
 @add("o_readsel", "WITH t AS (SELECT list_distinct(flatten(list(tags))) AS wanted FROM candidates WHERE run_id = 1 AND tags IS NOT NULL), r AS (SELECT reading_id, lower(trim(coalesce(doi, url, title))) AS k, (len(list_intersect(coalesce(tags, []), wanted)) > 0) AS hit FROM readings, t), f AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY hit DESC, reading_id) AS n FROM r) SELECT reading_id, hit FROM f WHERE n = 1 ORDER BY hit DESC, reading_id LIMIT 2")
 def o_readsel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = table(spark, sf_dir, "candidates").where("run_id = 1 and tags is not null").select(F.explode("tags").alias("t")).agg(F.collect_set("t").alias("wanted"))
-    r = table(spark, sf_dir, "readings").crossJoin(F.broadcast(wanted))  # one row
-    hit = F.arrays_overlap(F.coalesce("tags", F.array().cast("array<string>")), F.col("wanted"))
-    r = r.select("reading_id", F.lower(F.trim(F.coalesce("doi", "url", "title"))).alias("k"), F.coalesce(hit, F.lit(False)).alias("hit"))
+    hit = F.arrays_overlap(F.coalesce("tags", F.array().cast("array<string>")), _tags_of_run(spark, sf_dir, 1))
+    r = table(spark, sf_dir, "readings").select("reading_id", F.lower(F.trim(F.coalesce("doi", "url", "title"))).alias("k"), F.coalesce(hit, F.lit(False)).alias("hit"))
     one = r.withColumn("n", ranking.nth(["k"], [F.desc("hit"), F.asc("reading_id")])).where("n = 1")
     return one.orderBy(F.desc("hit"), "reading_id").limit(2).select("reading_id", "hit")
 

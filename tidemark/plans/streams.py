@@ -62,6 +62,6 @@ def q3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f_cos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cosine of every vector with the first."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    first = e.agg(F.min_by("v", "vec_id").alias("q"))
+    query = F.array(*(F.lit(x) for x in e.agg(F.min_by("v", "vec_id")).first()[0] or [])).cast("array<double>")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return e.crossJoin(F.broadcast(first)).select("vec_id", F.round(dot(F.col("v"), F.col("q")) / F.sqrt(dot(F.col("v"), F.col("v")) * dot(F.col("q"), F.col("q"))), 5).alias("cosine"))  # one row
+    return e.select("vec_id", F.round(dot(F.col("v"), query) / F.sqrt(dot(F.col("v"), F.col("v")) * dot(query, query)), 5).alias("cosine"))
