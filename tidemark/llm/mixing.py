@@ -163,8 +163,8 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
 def reached(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """source, target_share, reached_share, tokens, documents, most_repeats of each target."""
     got = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count(F.lit(1)).alias("documents"), F.max("repeats").alias("most_repeats"))
-    total = got.agg(F.sum("tokens").alias("all_tokens"))
-    full = targets.join(got, "source", "left").crossJoin(F.broadcast(total))  # one row
+    total = F.sum("tokens").over(Window.partitionBy(F.lit(1)))  # one row a target
+    full = targets.join(got, "source", "left").withColumn("all_tokens", total)
     zero = lambda c: F.coalesce(c, F.lit(0))
     return full.select("source", "target_share", F.round(zero("tokens") / F.col("all_tokens"), 6).alias("reached_share"), zero("tokens").alias("tokens"), zero("documents").alias("documents"), zero("most_repeats").alias("most_repeats"))
 
