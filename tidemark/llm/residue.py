@@ -62,6 +62,8 @@ FORMS = (
     ("ask", r"\[\s*(?:insert|add|your|enter|citation for|todo|fixme|to come|tbc|tbd|tk|placeholder|fill in|write|describe)\b[^\[\]]*\]"), ("slot", rf"\[\s*(?:{_FIELDS})\s*\]"), ("object", r"\[object object\]"),
     ("unknown", r"\bxx per cent\b|\b(?:19|20)xx\b"),
 )
+#: Every form has one of these; most sentences have none, and needn't be searched.
+_HINT = re.compile(r"[{}\[<&%$#@_*]|xx", re.I)
 _FORM = re.compile("|".join(f"(?P<f{i}>{p})" for i, (_, p) in enumerate(FORMS)), re.I)
 
 #: Messages and fillers, as the beginning of a sentence; ``$`` stands where nothing but a signature may follow. Fixed values.
@@ -95,7 +97,7 @@ def sentences(value: str) -> list[str]:
 def is_residue(value: str) -> bool:
     """The exact check: a form of an unfilled template anywhere, or a message or filler at the start of a sentence."""
     text = tidy(value)
-    if _FORM.search(text):
+    if _HINT.search(text) and _FORM.search(text):
         return True
     text = html.unescape(text)
     starts = [text, *(text[m.end() :] for m in _SENTENCE.finditer(text))]
@@ -104,7 +106,7 @@ def is_residue(value: str) -> bool:
 
 def tokens(text: str) -> list[str]:
     """Words, single signs, and one token for each form of an unfilled template; numbers by their length."""
-    marked = _FORM.sub(lambda m: f" ⟦{FORMS[int(m.lastgroup[1:])][0]}⟧ ", text)
+    marked = _FORM.sub(lambda m: f" ⟦{FORMS[int(m.lastgroup[1:])][0]}⟧ ", text) if _HINT.search(text) else text
     return [f"#{min(len(t), 4)}" if t.isdigit() else t.lower() for t in _TOKEN.findall(marked)]
 
 
