@@ -1,5 +1,6 @@
 import random
 from datetime import date
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
@@ -84,6 +85,61 @@ def test_events_as_a_table(spark):
     assert got == {1: None, 2: 1, 3: None}
 
 
+def test_near_names_are_all_found(spark):
+    rng, said = random.Random(5), lambda n: "".join(rng.choices("abcd e", k=n))
+    names = []
+    for _ in range(60):
+        base = said(rng.randrange(1, 70))
+        for _ in range(4):
+            x = list(base)
+            for _ in range(rng.randrange(0, 2 + len(x) // 8)):
+                at = rng.randrange(len(x) + 1)
+                x[at : at + rng.randrange(2)] = rng.choice(["", "z", "b"])
+            names.append("".join(x))
+    names = sorted(set(names))
+    near = lambda a, b: max(SequenceMatcher(None, a, b).ratio(), SequenceMatcher(None, b, a).ratio()) >= 0.9
+    want = {(i, j) for j, b in enumerate(names) for i, a in enumerate(names[:j]) if near(a, b)}
+    df = spark.createDataFrame([(i, "2024", n) for i, n in enumerate(names)], "id long, block string, name string")
+    assert len(want) > 100 and {(r.a, r.b) for r in events.near_names(df).collect()} == want
+
+
+def test_events_of_a_year_do_not_meet_by_year_alone(spark, monkeypatch):
+    rng = random.Random(3)
+    words = ["river levy", "port round", "tax treaty", "seed bank", "heat code", "clinic fund"]
+    rows = [(i, rng.randrange(999), rng.choice(["", f"u{i // 3}"]), f"e{rng.randrange(60)}", f"{rng.choice(words)} of the {rng.choice(words)}{rng.choice(['', 's', ' 3'])}", f"2024-01-0{rng.randrange(1, 4)}", "", "outcome", f"f{rng.randrange(9)}", rng.choice(words)) for i in range(90)]
+    cols = ["id", "place", "url_key", "event_id", "name", "published", "modified", "stage", "fingerprint", "summary"]
+    rows = [(r[0], k, *r[2:]) for k, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "id long, place long, " + ", ".join(f"{c} string" for c in cols[2:]))
+    want = {r["id"]: (r["event_out"], r["duplicate_of"]) for r in events.pass_through([dict(zip(cols, r)) for r in rows])}
+    assert {r.id: (r.event_out, r.duplicate_of) for r in events.consolidate(df).collect()} == want
+    apart = spark.createDataFrame([(i, i, f"u{i}", f"e{i}", n, "2024-01-01", "", "outcome", f"f{i}", n) for i, n in enumerate(words)], df.schema)
+    sizes = []
+    monkeypatch.setattr(events, "components", lambda pairs, f=events.components: sizes.append(f(pairs)) or sizes[-1])
+    events.consolidate(apart).collect()
+    assert sizes[0].select("root").distinct().count() == len(words)
+
+
+def test_unknown_addresses_are_not_the_same():
+    base = {"url_key": "", "modified": "", "stage": "outcome", "published": "2024-01-01"}
+    a = base | {"id": 1, "event_id": "e1", "name": "River summit", "fingerprint": "f1", "summary": "Ministers agreed a levy"}
+    b = base | {"id": 2, "event_id": "e2", "name": "Port round", "fingerprint": "f2", "summary": "A clinic was opened"}
+    assert [r["duplicate_of"] for r in events.pass_through([a, b])] == [None, None]
+
+
+def test_event_pool_is_every_eligible_candidate(spark, duck):
+    from conftest import DATA
+    from tidemark.plans import registry
+
+    sql = registry.oracle_sql()
+    ask = f"""SELECT candidate_id FROM candidates WHERE coalesce(development_stage, '') <> 'scheduled' AND candidate_id IN (SELECT candidate_id FROM ({sql['p_assess']}))
+      AND candidate_id IN (SELECT candidate_id FROM ({sql['p_temporal']}) WHERE verdict = 'in_scope') AND candidate_id IN (SELECT candidate_id FROM ({sql['p_evid']}) WHERE evidence = 'supported')
+      AND candidate_id NOT IN ({sql['j_prior']})"""
+    want = {r[0] for r in duck.execute(ask).fetchall()}
+    got = registry.queries()["o_event"](spark, DATA).collect()
+    again = {r[0] for r in duck.execute("SELECT c.candidate_id FROM candidates c JOIN history h ON h.url = c.url AND list_contains(h.published_versions, c.content_fingerprint)").fetchall()}
+    assert sorted(r.id for r in got) == sorted(want - again) and all(r.event_out for r in got)
+
+
 def test_near_titles(spark):
     rows = [(1, "g", "Water levy in the north basin"), (2, "g", "the north basin water levy in"), (3, "g", "Water levy in the north basin today"), (4, "g", "Quite another thing"), (5, "h", "Water levy in the north basin"), (6, "g", None), (7, "g", "!")]
     df = spark.createDataFrame(rows, "id long, g string, t string")

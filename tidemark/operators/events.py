@@ -4,14 +4,18 @@ A report is held against those kept before it: the same address and version, or
 with the same update, makes it a duplicate; the same event with another update hands it the
 kept one's event id, which later reports then see. That is a single ordered pass over reports
 that could meet at all, so rows are first brought together by connected components of the
-three things a match needs one of (address, event id, year and digits of the name), found in
-rounds of minimum labels, and each component is passed through on its own.
+three things a match needs one of (address, event id, a name as near as a match asks, of the same
+year and digits), found in rounds of minimum labels, and each component is passed through on its
+own. Near names are found by an exact block: names whose ratio is 0.9 differ in at most a tenth of
+their letters, so of one more segments than that, one recurs in the other name at a bounded shift.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,7 +47,82 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def _near(a: str, b: str) -> bool:
-    return a == b or SequenceMatcher(None, a, b).ratio() >= SAME
+    if a == b:
+        return True
+    m = SequenceMatcher(None, a, b)
+    return m.real_quick_ratio() >= SAME and m.quick_ratio() >= SAME and m.ratio() >= SAME
+
+
+def _edits(short: int, long: int) -> int:
+    """The most letters in which names of these lengths and a ratio of 0.9 differ; negative where no such names are."""
+    most, gap = (short + long) // 10, long - short
+    return most - (most - gap) % 2 if most >= gap else -1
+
+
+@lru_cache(1 << 12)
+def _segments(n: int) -> tuple[tuple[int, int], ...]:
+    """Start and end of the segments of a name of ``n`` letters: one more than it differs in from any longer near one."""
+    longer, most = n, 0
+    while _edits(n, longer) >= 0:
+        most, longer = max(most, _edits(n, longer)), longer + 1
+    return tuple((k * n // (most + 1), (k + 1) * n // (most + 1)) for k in range(most + 1))
+
+
+@lru_cache(1 << 12)
+def _probes(n: int) -> tuple[tuple[int, int, int, int], ...]:
+    """Length, segment, start and end of what a name of ``n`` letters may share with one as long or shorter.
+
+    Take the first segment k, from 0, with at most k edits up to its end: it has none itself and
+    exactly k before it, so it is shifted by k, k - 2, ..., -k, and the rest must make up the lengths.
+    """
+    out, short = [], n
+    while short > 0 and (most := _edits(short, n)) >= 0:
+        for k, (lo, hi) in enumerate(_segments(short)[: most + 1]):
+            for shift in range(-k, k + 1, 2):
+                if abs(n - short - shift) <= most - k and 0 <= lo + shift and hi + shift <= n:
+                    out.append((short, k, lo + shift, hi + shift))
+        short -= 1
+    return tuple(out)
+
+
+def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cols = ["id", "block", "own", "key"]
+    for batch in batches:
+        out: list[tuple] = []
+        for at, block, name in zip(batch["id"], batch["block"], batch["name"], strict=True):
+            out += [(at, block, True, f"{len(name)},{k},{name[lo:hi]}") for k, (lo, hi) in enumerate(_segments(len(name)))] if name else []
+            for short, k, lo, hi in _probes(len(name)):
+                out.append((at, block, False, f"{short},{k},{name[lo:hi]}"))
+            if len(out) > 100_000:
+                yield pd.DataFrame(out, columns=cols)
+                out = []
+        yield pd.DataFrame(out, columns=cols)
+
+
+def _lower(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(name=batch["name"].str.lower())
+
+
+def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        # the ratio depends on the order of the two
+        yield batch.loc[[_near(a, b) or _near(b, a) for a, b in zip(batch["name_a"], batch["name_b"], strict=True)], ["a", "b"]]
+
+
+def near_names(names: DataFrame) -> DataFrame:
+    """a, b of all pairs of names (id, block, name) of one block whose ratio is 0.9 in either order. Each name once a block."""
+    kind = names.schema["id"].dataType.simpleString()
+    names = cut_lineage(names.select("id", "block", "name").mapInPandas(_lower, f"id {kind}, block string, name string"))
+    keys = names.mapInPandas(_keys, f"id {kind}, block string, own boolean, key string").select("id", "own", F.xxhash64("block", "key").alias("key"))
+    keys = cut_lineage(keys)
+    own, probes = keys.where("own").select(F.col("id").alias("a"), "key"), keys.where("not own").select(F.col("id").alias("b"), "key")
+    pairs = own.join(probes, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    side = lambda c: names.select(F.col("id").alias(c), F.col("block").alias(f"block_{c}"), F.col("name").alias(f"name_{c}"))
+    # letters left out and put in are no fewer than edits with replacements
+    close = F.expr("levenshtein(name_a, name_b, int((char_length(name_a) + char_length(name_b)) div 10)) >= 0")
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where("block_a = block_b").where(close)
+    return pairs.select("a", "b", "name_a", "name_b").mapInPandas(_verified, f"a {kind}, b {kind}")
 
 
 def pass_through(reports: list[dict]) -> list[dict]:
@@ -52,13 +131,13 @@ def pass_through(reports: list[dict]) -> list[dict]:
     for r in reports:
         r["event_out"], r["duplicate_of"] = r["event_id"], None
         for k in kept:
-            same_url = r["url_key"] == k["url_key"]
-            same_event = r["event_out"] == k["event_out"] or (
+            same_url = r["url_key"] != "" and r["url_key"] == k["url_key"]
+            same_event = (r["event_out"] != "" and r["event_out"] == k["event_out"]) or (
                 r["published"][:4] == k["published"][:4] and re.findall(r"\d+", r["name"]) == re.findall(r"\d+", k["name"]) and _near(r["name"].lower(), k["name"].lower())
             )
-            same_update = r["stage"] == k["stage"] and r["published"] == k["published"] and (r["fingerprint"] == k["fingerprint"] or _near(r["summary"].lower(), k["summary"].lower()))
+            same_update = same_event and r["stage"] == k["stage"] and r["published"] == k["published"] and (r["fingerprint"] == k["fingerprint"] or _near(r["summary"].lower(), k["summary"].lower()))
             version = r["modified"] == k["modified"] or not r["modified"] or not k["modified"]
-            if (same_url and version) or (same_event and same_update):
+            if (same_url and version) or same_update:
                 r["duplicate_of"] = k["id"]
                 break
             if same_event:
@@ -71,14 +150,20 @@ def pass_through(reports: list[dict]) -> list[dict]:
 def consolidate(df: DataFrame) -> DataFrame:
     """id, event_out, duplicate_of of reports (id, place, url_key, event_id, name, published, modified, stage, fingerprint, summary).
 
-    Text columns may be null and then count as blank. A component must fit a task: bound the
-    pool first, as names without digits meet by year alone.
+    Text columns may be null and then count as blank; a blank address or event id is unknown and
+    equals none. A component, rows that near names, addresses and event ids tie together, must fit a task.
     """
     blank = [c for c in df.columns if c not in ("id", "place")]
     rows = df.select("id", "place", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in blank))
     digits = F.concat_ws("|", F.substring("published", 1, 4), F.array_join(F.regexp_extract_all("name", F.lit(r"\d+"), F.lit(0)), ","))
-    keys = F.explode(F.array(F.concat(F.lit("u"), "url_key"), F.concat(F.lit("e"), "event_id"), F.concat(F.lit("d"), digits))).alias("key")
-    roots = components(rows.select("id", keys))
+    rows = cut_lineage(rows.withColumn("block", digits))
+    known = lambda p, c: F.when(F.col(c) != "", F.concat(F.lit(p), c))
+    keys = F.explode(F.array(known("u", "url_key"), known("e", "event_id"), F.concat(F.lit("d"), F.to_json(F.struct("block", "name"))))).alias("key")
+    # one row stands for all of a name
+    near = near_names(rows.groupBy("block", "name").agg(F.min("id").alias("id")))
+    tie = F.concat_ws(" ", F.lit("n"), "a", "b")
+    ties = near.select(F.explode(F.array("a", "b")).alias("id"), tie.alias("key"))
+    roots = components(rows.select("id", keys).unionByName(ties))
     kind = df.schema["id"].dataType.simpleString()
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
@@ -87,4 +172,4 @@ def consolidate(df: DataFrame) -> DataFrame:
         out["duplicate_of"] = pd.array([r["duplicate_of"] for r in done], dtype="Int64")
         return out
 
-    return rows.join(roots, "id").groupBy("root").applyInPandas(one, f"id {kind}, event_out string, duplicate_of {kind}")
+    return rows.drop("block").join(roots, "id").groupBy("root").applyInPandas(one, f"id {kind}, event_out string, duplicate_of {kind}")

@@ -122,10 +122,14 @@ def _sql_assess(lex: Lexicon) -> str:
     SELECT candidate_id, n AS n_topics, (n > 0 AND m AND NOT z) AS substantive, CASE WHEN n > 0 AND m AND NOT z THEN 2 + i::INT + least(2, n) + dated::INT + evident::INT + i::INT ELSE 0 END AS score FROM d"""
 
 
+def score_of(lex: Lexicon) -> Column:
+    """n_topics, substantive and score from a candidate's columns."""
+    return assessment(body_of("title", "full_text", "summary_hint"), blank("title"), F.col("published").isNotNull(), F.col("reliability").isin("primary", "established_secondary"), blank("summary_hint") != "", lex)
+
+
 def _assess(spark: SparkSession, sf_dir: str, lex: Lexicon) -> DataFrame:
     c = candidates(spark, sf_dir, "candidate_id", "title", "full_text", "summary_hint", "published_date", "reliability")
-    a = assessment(body_of("title", "full_text", "summary_hint"), blank("title"), F.col("published").isNotNull(), F.col("reliability").isin("primary", "established_secondary"), blank("summary_hint") != "", lex)
-    return c.select("candidate_id", a.alias("a")).select("candidate_id", F.col("a.n_topics"), F.col("a.substantive"), F.col("a.score"))
+    return c.select("candidate_id", score_of(lex).alias("a")).select("candidate_id", F.col("a.n_topics"), F.col("a.substantive"), F.col("a.score"))
 
 
 @add("a_assess", _sql_assess(FITTED))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text, urls
@@ -10,9 +10,11 @@ from tidemark.functions.dates import iso_prefix
 from tidemark.operators import crawl, dedup, events, joins, state
 from tidemark.operators.position import with_position
 from tidemark.operators.ranking import nth
-from tidemark.plans.base import blank, candidates
+from tidemark.plans.base import FITTED, blank, candidates
 from tidemark.plans.common import Registry, sql_fingerprint, sql_iso
-from tidemark.runtime import table
+from tidemark.plans.filters import j_prior, p_evid, p_temporal
+from tidemark.plans.ranking import score_of
+from tidemark.runtime import cut_lineage, table
 
 add = Registry()
 QUERIES, SQL = add.queries, add.sql
@@ -187,13 +189,43 @@ def o_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.greedy_keep(members, links).select(F.col("id").alias("candidate_id"))
 
 
+def _event_id(name: Column, year: Column, url: Column) -> Column:
+    """A session's code and year, else a fingerprint of the name, or the address, and the year."""
+    p = r"(?U)\b([A-Z]{2,8})[-– ](\d{1,3})\b"
+    code = F.concat(F.lower(F.regexp_extract(name, p, 1)), F.lit("-"), F.regexp_extract(name, p, 2), F.lit(":"), year)
+    bare = F.regexp_replace(F.lower(name), r"^(?:concept note and |concept note |agenda (?:of|for) (?:the )?|summary (?:of|report on) )+", "")
+    plain = F.trim(F.regexp_replace(bare, r"(?U)[^\w]+", " "))
+    return F.when(name.rlike(p), code).otherwise(F.concat(F.lit("event:"), text.fingerprint(F.concat(F.when(plain != "", plain).otherwise(F.coalesce(url, F.lit(""))), F.lit(":"), year))))
+
+
+def _eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates that are relevant, in scope, supported, not scheduled and not published before, as reports placed by assessment."""
+    c = candidates(spark, sf_dir, "candidate_id", "url", "event_id", "event_name", "title", "published_date", "event_date", "modified_date", "development_stage", "content_fingerprint", "summary_hint", "full_text", "reliability")
+    c = c.where(blank("development_stage") != "scheduled").withColumn("key", urls.canonical_url("url"))
+    c = c.join(p_temporal(spark, sf_dir).where("verdict = 'in_scope'"), "candidate_id", "left_semi")
+    c = c.join(p_evid(spark, sf_dir).where("evidence = 'supported'"), "candidate_id", "left_semi").join(j_prior(spark, sf_dir), "candidate_id", "left_anti")
+    versions = table(spark, sf_dir, "history").select(urls.canonical_url("url").alias("key"), F.explode("published_versions").alias("content_fingerprint"))
+    c = c.join(versions, ["key", "content_fingerprint"], "left_anti")
+    # assessed last, as that reads whole texts
+    c = cut_lineage(c.withColumn("a", score_of(FITTED))).where("a.substantive and a.score >= 4").withColumn("score", F.col("a.score"))
+    # as on arrival: a document without an event is named by a session's code near its head, or its title
+    body = F.concat_ws(" ", blank("title"), F.when(blank("full_text") != "", F.col("full_text")).otherwise(blank("summary_hint")))
+    code = F.regexp_extract(F.substring(body, 1, 1500), r"(?U)\b[A-Z]{2,8}[-–]\d{1,3}\b", 0)
+    own = F.when(blank("event_name") != "", F.col("event_name")).otherwise(blank("title"))
+    name = F.when((blank("event_id") == "") & (own == blank("title")) & (code != ""), code).otherwise(own)
+    year = F.coalesce(F.date_format(F.coalesce(iso_prefix("event_date"), F.col("published")), "yyyy"), F.lit(""))
+    event_id = F.when(blank("event_id") != "", F.col("event_id")).otherwise(_event_id(name, year, F.col("key")))
+    pool = c.select(
+        F.col("candidate_id").alias("id"), "score", (blank("reliability") == "primary").alias("primary"), F.col("key").alias("url_key"), event_id.alias("event_id"), name.alias("name"), "published",
+        iso_prefix("modified_date").alias("modified"), F.col("development_stage").alias("stage"), F.col("content_fingerprint").alias("fingerprint"), F.col("summary_hint").alias("summary"),
+    )
+    return with_position(pool, [F.desc("score"), F.desc("primary"), F.asc("id")], "place").drop("score", "primary")
+
+
 @add("o_event")
 def o_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports of one event consolidated, for candidates of the highest scores."""
-    c = candidates(spark, sf_dir, "candidate_id", "url", "event_id", "event_name", "title", "published_date", "modified_date", "development_stage", "content_fingerprint", "summary_hint", "semantic_score")
-    c = c.where("semantic_score >= 6 and event_id is not null and published is not null")
-    pool = c.select(F.col("candidate_id").alias("id"), F.col("candidate_id").alias("place"), urls.canonical_url("url").alias("url_key"), "event_id", F.coalesce("event_name", "title").alias("name"), "published", iso_prefix("modified_date").alias("modified"), F.col("development_stage").alias("stage"), F.col("content_fingerprint").alias("fingerprint"), F.col("summary_hint").alias("summary"))
-    return events.consolidate(pool)
+    """Reports of one event consolidated, of all eligible candidates, the best assessed first."""
+    return events.consolidate(_eligible(spark, sf_dir))
 
 
 @add("x_shortlist", "WITH r AS (SELECT reading_id, lower(coalesce(doi, url)) AS k, discovery_score FROM readings), f AS (SELECT k, min(reading_id) AS reading_id FROM r WHERE k IS NOT NULL GROUP BY 1) SELECT f.reading_id, row_number() OVER (ORDER BY r.discovery_score DESC NULLS LAST, f.reading_id) AS place FROM f JOIN r ON r.reading_id = f.reading_id WHERE f.k NOT IN (SELECT lower(doi) FROM history WHERE doi IS NOT NULL) QUALIFY place <= 12")
