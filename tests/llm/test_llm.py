@@ -231,6 +231,22 @@ def test_truncation_held_out(spark):
     assert sum(s < 0.5 for s in model.score(whole[1::2])) > 0.95 * len(whole[1::2])
 
 
+def test_truncation_statistics_cover_every_row(spark):
+    rng = random.Random(2)
+    values = ["x" * rng.randrange(20, 4000) for _ in range(3000)] + ["y" * 777 for _ in range(40)] + [f"It rained. Filed by desk {i}" for i in range(12)]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None), (-2, " ")], "id long, _value string")
+    piled, phrases = truncation.corpus_statistics(rows)
+    assert 777 in piled and any("filed by desk" in p for p in phrases)
+    seen, fit = [], truncation.fit
+    try:
+        truncation.fit = lambda *a, **k: seen.append(fit(*a, **k)) or seen[-1]
+        truncation.cut_values(rows, "id", "_value", sample=50)
+    finally:
+        truncation.fit = fit
+    # a sample of 50 rows holds neither eight values of a length nor six of a phrase
+    assert 777 in seen[0].piled and phrases <= seen[0].seeds
+
+
 def test_truncation_cases():
     body = "The council voted to extend the levy in the northern basin. "
     model = truncation.fit([body * 3 + f"Farmers disputed the baseline of the accord number {i}." for i in range(300)])

@@ -29,10 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import alias_table, name_key
-from tidemark.runtime import bounded_sample, require, table
+from tidemark.runtime import bounded_sample, cut_lineage, require, table
 
 #: Rows of a field that training may see, and the size of the hashed weights.
 SAMPLE, WIDTH = 8_000, 1 << 15
+#: Values that a piled-up length and a frequent phrase have at least, and the lengths that a pile is held against.
+LEAST_PILED, LEAST_PHRASE, BESIDE = 8, 6, (-4, -3, -2, 2, 3, 4)
 TERMINAL = ".!?。！？"
 QUOTES = "\"'”’»」』“"
 CLOSERS = QUOTES + ")]）"
@@ -132,22 +134,51 @@ def cut_artificially(value: str, rng: random.Random, limits: list[int]) -> str |
     return text + rng.choice(("", "", "", "…", "...", " […]", " [...]", " (...)", "… Continue reading →", "...more", "…more", " [more]", "... Read more", "... Read the full story", "”", "</p>", "</", " (4 min read)", " Share this.", "…</p>", '<a href="htt', "&#82", "�", " The post appeared first on Site."))
 
 
-def fit(values: list[str], seed: int = 11, epochs: int = 4) -> Model:
-    """A model from intact values found among ``values``."""
+def _closing(value: str) -> str | None:
+    """The masked last phrase of a value that may close with a remark."""
+    own, _ = own_text(value)
+    at = _before_closers(own)
+    if at and own[at - 1] not in TERMINAL:
+        phrase = last_phrase(own)
+        if len(phrase.split()) >= 3 and phrase.endswith(("#", "url", "month")):
+            return phrase
+    return None
+
+
+def corpus_statistics(rows: DataFrame) -> tuple[frozenset[int], frozenset[str]]:
+    """The lengths that pile up and the frequent closing phrases of all values of ``_value``.
+
+    At most 100,000 lengths, as each holds that share of all values, and 1,500 phrases for the same reason.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            values = [v for v in b["_value"] if v and v.strip()]
+            out = [(n, None, k) for n, k in Counter(map(len, values)).items()]
+            out += [(None, p, k) for p, k in Counter(filter(None, map(_closing, values))).items()]
+            yield pd.DataFrame(out, columns=["size", "phrase", "n"]).astype({"size": "Int64"})
+
+    counts = cut_lineage(rows.select("_value").mapInPandas(count, "size long, phrase string, n long").groupBy("size", "phrase").agg(F.sum("n").alias("n")))
+    lengths = counts.where("size is not null").select("size", "n")
+    total = lengths.agg(F.sum("n")).first()[0] or 0
+    # beside the lengths next to it, which a limit may share
+    beside = lengths.select(F.explode(F.array(*(F.col("size") + d for d in BESIDE))).alias("size"), F.col("n").alias("b")).groupBy("size").agg(F.sum("b").alias("b"))
+    high = lengths.where(F.col("n") >= max(LEAST_PILED, total // 100_000)).join(beside, "size", "left")
+    piled = high.where(F.col("n") > 4 * F.coalesce("b", F.lit(0)) / len(BESIDE)).select("size").collect()
+    phrases = counts.where("phrase is not null").where(F.col("n") >= max(LEAST_PHRASE, total // 1500)).select("phrase").collect()
+    return frozenset(r[0] for r in piled), frozenset(r[0] for r in phrases)
+
+
+def fit(values: list[str], seed: int = 11, epochs: int = 4, statistics: tuple[frozenset[int], frozenset[str]] | None = None) -> Model:
+    """A model from intact values found among ``values``; ``statistics`` are those of the whole corpus, else of ``values``."""
     rng = random.Random(seed)
     values = [v for v in values if v and v.strip()]
-    lengths = Counter(map(len, values))
-    piled = frozenset(n for n, k in lengths.items() if k >= 8 and k > 4 * np.mean([lengths.get(n + d, 0) for d in (-4, -3, -2, 2, 3, 4)]))
-    seeds = {last_phrase(own_text(r)[0]) for r in REMARKS}
-    phrases = Counter()
-    for v in values:
-        own, after = own_text(v)
-        at = _before_closers(own)
-        if at and own[at - 1] not in TERMINAL and len(last_phrase(own).split()) >= 3:
-            phrases[last_phrase(own)] += 1
-    least = max(6, len(values) // 1500)
-    seeds |= {p for p, n in phrases.items() if n >= least and p.endswith(("#", "url", "month"))}
-    frozen = frozenset(seeds)
+    if statistics is None:
+        lengths, phrases = Counter(map(len, values)), Counter(filter(None, map(_closing, values)))
+        piled = frozenset(n for n, k in lengths.items() if k >= LEAST_PILED and k > 4 * np.mean([lengths.get(n + d, 0) for d in BESIDE]))
+        statistics = piled, frozenset(p for p, n in phrases.items() if n >= max(LEAST_PHRASE, len(values) // 1500))
+    piled = statistics[0]
+    frozen = frozenset({last_phrase(own_text(r)[0]) for r in REMARKS}) | statistics[1]
     rows, labels = [], []
     for v in values:
         own, after = own_text(v)
@@ -181,8 +212,9 @@ def cut_values(df: DataFrame, ident: str, text: str, carry: list[str] | None = N
     """ident, carry..., score, is_cut of every row with text that isn't blank."""
     require(df, ident, text, *(carry or []))
     rows = df.select(*dict.fromkeys([ident, *(carry or [])]), df[text].alias("_value"))
-    model = fit([r[0] for r in bounded_sample(rows, ident, sample).where(F.trim("_value") != "").select("_value").toLocalIterator()])
-    held = rows.sparkSession.sparkContext.broadcast(model)  # fixed size: the hashed weights and at most SAMPLE short phrases
+    chosen = [r[0] for r in bounded_sample(rows, ident, sample).where(F.trim("_value") != "").select("_value").toLocalIterator()]
+    model = fit(chosen, statistics=corpus_statistics(rows))
+    held = rows.sparkSession.sparkContext.broadcast(model)  # bounded: the hashed weights, and the lengths and short phrases as corpus_statistics bounds them
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
