@@ -322,6 +322,20 @@ def test_mix_reaches_its_shares(spark):
     assert mixing.mix(d.limit(0), t).count() == 0 and mixing.mix(d, t.limit(0)).count() == 0
 
 
+def test_mixing_fills_whatever_gap_a_large_document_leaves(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FILL", 4)
+    rng = random.Random(8)
+    small = [(i, "a", "en", "x", rng.randrange(150, 250)) for i in range(400)]
+    docs = [*small, *((1000 + i, "a", "en", "x", 30_000) for i in range(6)), *((2000 + i, "b", "en", "x", 200) for i in range(100))]
+    d = spark.createDataFrame(docs, "doc_id long, source string, lang string, topic string, n_tokens long")
+    t = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    for seed in range(4):
+        used = {r.doc_id: r.n_tokens for r in mixing.mix(d, t, total_tokens=40_000.0, seed=seed).collect() if r.source == "a"}
+        gap = 20_000 - sum(used.values())
+        assert 0 <= gap < min(n for i, *_, n in small if i not in used)
+
+
+
 # --- 10 --------------------------------------------------------------------------------------
 
 

@@ -100,6 +100,40 @@ def _threshold(rows: DataFrame, need: DataFrame) -> DataFrame:
     raise AssertionError
 
 
+def _fillers(uses: DataFrame, cut: DataFrame, ident: str) -> DataFrame:
+    """doc_id of the documents from the cut on that, in order of r, still fit into the room, until none does.
+
+    In turn the next FILL that fit are tried one by one, and of the rest all below a new threshold come in.
+    """
+    spark = uses.sparkSession
+    left = uses.join(cut, "source").where("r >= cut and n_tokens <= room").select("doc_id", "source", "n_tokens", "r", "room")
+    found = spark.createDataFrame([], ident)
+    while True:
+        next_up = left.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("r", "doc_id"))).where(F.col("k") <= FILL)
+        extra, room_left, last = [], {}, {}
+        for row in next_up.orderBy("source", "k").select("source", "doc_id", "n_tokens", "room", "k").collect():  # at most FILL for each target
+            gap = room_left.setdefault(row["source"], row["room"])
+            last[row["source"]] = row["k"]
+            if row["n_tokens"] <= gap:
+                extra.append((row["doc_id"],))
+                room_left[row["source"]] = gap - row["n_tokens"]
+        some = spark.createDataFrame(extra, ident)
+        found = found.unionByName(some)
+        rooms = [(s, room) for s, room in room_left.items() if last[s] == FILL]
+        if not rooms:
+            return found
+        goal = F.broadcast(spark.createDataFrame(rooms, "source string, need double"))  # one row a target
+        left = left.drop("room").join(goal, "source").where("n_tokens <= need").join(F.broadcast(some), "doc_id", "left_anti")  # at most FILL for each target
+        left = cut_lineage(left)
+        if left.isEmpty():
+            return found
+        at = _threshold(left.select("source", "n_tokens", "r"), left.select("source", "need").distinct())
+        left = cut_lineage(left.drop("need").join(at, "source", "left"))
+        # where there is no cut all that is left fits
+        found = found.unionByName(left.where("cut is null or r < cut").select("doc_id"))
+        left = left.where("r >= cut and n_tokens <= room").select("doc_id", "source", "n_tokens", "r", "room")
+
+
 def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, languages: dict[str | None, float] | None = None, topics: dict[str | None, float] | None = None, seed: int = 17) -> DataFrame:
     """doc_id, source, n_tokens, repeats of each document used. ``docs`` has doc_id, source, lang, topic, n_tokens; ``targets`` source, target_share, max_repeats."""
     require(docs, "doc_id", "source", "lang", "topic", "n_tokens")
@@ -146,16 +180,8 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     # no cutoff although tokens are wanting: all documents with a probability come in
     taken = F.col("r").isNotNull() & F.col("_short").isNotNull() & (F.col("cut").isNull() | (F.col("r") < F.col("cut")))
     # the document at the threshold may be far larger than what is wanting there: the next ones that fit fill the gap
-    next_up = uses.join(cut, "source").where("r >= cut and n_tokens <= room")
-    next_up = next_up.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("r", "doc_id"))).where(F.col("k") <= FILL)
-    extra, room_left = [], {}
-    for row in next_up.orderBy("source", "k").select("source", "doc_id", "n_tokens", "room").collect():  # at most FILL for each target
-        gap = room_left.setdefault(row["source"], row["room"])
-        if row["n_tokens"] <= gap:
-            extra.append((row["doc_id"], 1))
-            room_left[row["source"]] = gap - row["n_tokens"]
-    added = spark.createDataFrame(extra, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _more int")
-    full = full.join(F.broadcast(added), "doc_id", "left")  # at most FILL for each target
+    added = _fillers(uses, cut, out.split(",")[0])
+    full = full.join(added.withColumn("_more", F.lit(1)), "doc_id", "left")
     more = F.when(taken, 1).otherwise(F.coalesce("_more", F.lit(0)))
     return full.select("doc_id", "source", F.col("n_tokens"), (F.col("base") + more).cast("int").alias("repeats")).where("repeats > 0")
 
