@@ -175,6 +175,16 @@ def test_spelling_collisions_are_told_apart(spark, monkeypatch):
     assert got == {(1, 3), (2, 4)}
 
 
+def test_spelling_that_all_hashes_confuse(spark):
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    x, y, z = a + a, a + b, b + a
+    assert (spelling.hashes([x, y], True) == spelling.hashes([z, z], True)).all()
+    df = spark.createDataFrame([(1, x), (2, y), (3, z), (4, x.upper()), (5, f"{y}-"), (6, f"{z}!"), (7, f"-{z}"), (8, "x")], "id long, url string")
+    assert {(r.first_id, r.copy_id) for r in spelling.hidden_copies(df, "id", "url").collect()} == {(1, 4), (2, 5), (3, 6), (3, 7)}
+
+
 def test_spelling_odd_cases(spark):
     df = spark.createDataFrame([(1, "x" * 100_000, "h"), (2, "X " * 100_000, "h"), (3, "!!", "h"), (4, "??", "h")], "id long, url string, h1 string")
     assert {(r.first_id, r.copy_id) for r in spelling.hidden_copies(df, "id", "url").collect()} == {(1, 2), (3, 4)}

@@ -6,7 +6,8 @@ what is left, so no canonical string is ever made. The text before the first ``?
 order; the fields after it, parted at ``&``, hash each by itself and are summed, so their order
 doesn't count. Rows are grouped by 128 bits of hash, counted map-side first; then each copy is
 verified against its group's first row by two pointers that skip what doesn't count. A row
-that fails there (two addresses under one hash) is grouped again under its third hash.
+that fails there (two addresses under one hash) is grouped again under its third hash, and one
+that fails again (texts can be made that all three confuse) by its folded text itself.
 
 What counts: letters and digits, in lower case. All else is skipped: white space, invisible
 characters, punctuation, symbols. An empty field counts as none.
@@ -122,6 +123,13 @@ def same_spelling(a: str, b: str, fields: bool = True) -> bool:
 _fold = lru_cache(1 << 16)(fold)
 
 
+def folded_text(text: str, fields: bool = True) -> str:
+    """One string for all spellings of a text; what separates its parts is no letter or digit, so no two texts share it."""
+    flat = lambda x: "".join(chr(f) for c in x if (f := _fold(ord(c))))
+    head, _, asked = text.partition("?") if fields else (text, "", "")
+    return "?".join([flat(head), *sorted(filter(None, map(flat, asked.split("&"))))])
+
+
 def _walk(a: str, b: str) -> bool:
     i, j, n, m = 0, 0, len(a), len(b)
     while True:
@@ -159,6 +167,14 @@ def _verified(fields: bool) -> Callable[..., Column]:
     return verified
 
 
+def _folded_text(fields: bool) -> Callable[..., Column]:
+    @F.pandas_udf(T.StringType())
+    def one(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: folded_text(x, fields))
+
+    return one
+
+
 def _pairs(rows: DataFrame, keys: list[str], fields: bool) -> DataFrame:
     """id, text, h3, first_id, first_text, same of each row whose key an earlier row has."""
     first = rows.groupBy(*keys).agg(F.min_by(F.struct("id", "text"), "id").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -176,7 +192,12 @@ def hidden_copies(df: DataFrame, ident: str, text: str, fields: bool = True) ->
     failed = pairs.where("not same").select("id", "text", "first_id", "h3")
     if not failed.isEmpty():
         again = failed.select("id", "text", F.col("first_id").alias("h1"), "h3").withColumn("h2", F.lit(0))
-        found = found.unionByName(_pairs(again, ["h1", "h3"], fields).where("same").select("first_id", F.col("id").alias("copy_id")))
+        third = cut_lineage(_pairs(again, ["h1", "h3"], fields).join(failed.select("id", F.col("first_id").alias("h1")), "id"))
+        found = found.unionByName(third.where("same").select("first_id", F.col("id").alias("copy_id")))
+        last = third.where("not same").select("id", "text", "h1", "h3")
+        if not last.isEmpty():
+            exact = _pairs(last.withColumn("folded", _folded_text(fields)("text")), ["h1", "h3", "folded"], fields)
+            found = found.unionByName(exact.where("same").select("first_id", F.col("id").alias("copy_id")))
     return found
 
 
