@@ -132,6 +132,14 @@ def test_residue_odd_cases(spark):
     assert residue.residue_values(df.limit(0), "id", "v").count() == 0
 
 
+def test_boilerplate_reads_the_marks_of_long_lines():
+    notice = "We use cookies to improve this site. "
+    cues = boilerplate.attributes(notice)[0]
+    assert cues and boilerplate.attributes(notice * 20)[0] & cues
+    menu = boilerplate.attributes(" | ".join(["Home", "About", "Contact"] * 20))
+    assert menu[1] > 0.5 and menu[2] == 60
+
+
 # --- 4 ---------------------------------------------------------------------------------------
 
 
