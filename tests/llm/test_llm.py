@@ -108,20 +108,56 @@ BAD = (
 )
 
 
-def test_residue_forms():
-    odds = residue.fit(list(GOOD) * 30)
-    for v in BAD:
-        assert residue.is_residue(v), v
-        assert residue.score(v, odds) > residue.SUSPECT, v
-    for v in GOOD:
-        assert not residue.is_residue(v), v
+#: None of these stands in the trusted records; Dutch, Portuguese and Polish aren't languages of the data.
+UNSEEN = (
+    "La página solicitada no existe.", "This content is blocked in your country.", "Something went wrong, try again later", "Die angeforderte Seite wurde nicht gefunden.", "[COMPANY] announced new tariffs", "Error code 1020",
+    "Pagina niet gevonden", "Você precisa ativar o JavaScript no navegador", "Hello {first_visit}, your report is ready", "The council voted. You need cookies and scripts to continue reading this page.",
+)
+
+
+def ordinary(n, seed=5):
+    """Sentences of many words, about one in twenty of them with residue in them."""
+    rng = random.Random(seed)
+    pick = lambda *w: rng.choice(w)
+    out = []
+    for _ in range(n):
+        s = f"{pick('The council', 'A ministry', 'Two banks', 'Fishing crews', 'The home office', 'Seven towns', 'A tribunal')} {pick('voted to extend', 'put off', 'weighed', 'will search', 'published the terms of', 'disputed')} {pick('a levy', 'the tariff', 'its archive', 'the treaty', 'a loan', 'the census')} {pick('for herders', 'in the valley', 'by a year', 'after talks', 'on the coast', 'of the port union')}."
+        out.append(pick(*BAD) if rng.random() < 0.05 else s + " " + pick(*GOOD) if rng.random() < 0.2 else s)
+    return out
+
+
+def residue_model():
+    return residue.fit(ordinary(2000))
+
+
+def test_residue_by_the_model():
+    scorer = residue_model().scorer()
+    assert [v for v in BAD if not scorer.is_residue(v)] == [] and [v for v in GOOD if scorer.is_residue(v)] == []
+
+
+def test_residue_in_unseen_words():
+    scorer = residue_model().scorer()
+    assert not set(UNSEEN) & set(residue.trusted())
+    assert [v for v in UNSEEN if not scorer.is_residue(v)] == []
+
+
+def test_residue_learner_decides():
+    import numpy as np
+
+    idle = residue.Model(np.zeros(residue.WIDTH), 0.0, residue_model().threshold).scorer()
+    assert not any(map(idle.is_residue, BAD))
+    # what the unlabelled values say of "service unavailable" changes the verdict on it
+    plain = residue.fit([])
+    told = residue.fit([f"The service was unavailable to {n} farmers in the valley, and the council will look again." for n in range(100, 400)])
+    text = "The service was unavailable to 512 farmers"
+    assert plain.scorer().score(text) > told.scorer().score(text)
 
 
 def test_residue_scores_are_those_of_the_worst_passage():
-    odds = residue.fit(list(GOOD) * 30)
+    model = residue_model()
     for v in (*GOOD, *BAD, "", "One. Two three! " * 40, "word " * 100):
-        direct = max((sum(odds[f] for f in p) for p in residue.passages(v)), default=-30.0)
-        assert abs(residue.Scorer(odds).score(v) - max(direct, -30.0)) < 1e-6
+        direct = max((sum(model.odds[f] for f in residue._hashed(p)) for p in residue.passages(v)), default=-30.0)
+        assert abs(model.scorer().score(v) - max(direct, -30.0) - model.prior) < 1e-6
 
 
 def test_residue_odd_cases(spark):
