@@ -279,7 +279,7 @@ def test_history_appends_and_odd_cases(spark, tmp_path):
 def test_truncation_held_out(spark):
     values = [r[0] for r in table(spark, DATA, "candidates").where("trim(summary_hint) <> ''").orderBy("candidate_id").select("summary_hint").collect()]
     whole = [v for v in values if v.rstrip()[-1:] in ".?。"]
-    model, rng = truncation.fit(values[::2]), random.Random(1)
+    (model,), rng = truncation.fit([values[::2]]), random.Random(1)
     cut = [c for v in whole[1::2] if (c := truncation.cut_artificially(v, rng, [100, 140]))]
     assert sum(s > 0.5 for s in model.score(cut)) > 0.95 * len(cut)
     assert sum(s < 0.5 for s in model.score(whole[1::2])) > 0.95 * len(whole[1::2])
@@ -290,27 +290,49 @@ def test_truncation_statistics_cover_every_row(spark):
     values = ["x" * rng.randrange(20, 4000) for _ in range(3000)] + ["y" * 777 for _ in range(40)] + [f"It rained. Filed by desk {i}" for i in range(12)]
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None), (-2, " ")], "id long, _value string")
     piled, phrases = truncation.corpus_statistics(rows)
-    assert 777 in piled and any("filed by desk" in p for p in phrases)
-    seen, fit = [], truncation.fit
-    try:
-        truncation.fit = lambda *a, **k: seen.append(fit(*a, **k)) or seen[-1]
-        truncation.cut_values(rows, "id", "_value", sample=50)
-    finally:
-        truncation.fit = fit
+    assert 777 in piled and truncation._phrase_hash("filed by desk #") in phrases
     # a sample of 50 rows holds neither eight values of a length nor six of a phrase
-    assert 777 in seen[0].piled and phrases <= seen[0].seeds
+    (model,) = truncation.models_for([(rows, "id", "_value")], sample=50)
+    assert 777 in model.piled and phrases <= model.frequent
+
+
+#: Closing remarks that no text of the package holds, one Dutch.
+REMARKS = ("Stay tuned for part two", "Inschrijven voor 3 mei 2026", "(Filed from the northern desk)", "Signed: the regional editor", "Talks resume on 14 May 2026", "Files at https://x.example/1")
+
+
+def reports(n, seed=3):
+    """Texts of some sentences; one in five closes with a remark, one in eight is cut."""
+    rng = random.Random(seed)
+    pick = lambda *w: rng.choice(w)
+    out = []
+    for k in range(n):
+        one = lambda: f"{pick('The council', 'A ministry', 'Two banks', 'Fishing crews', 'Seven towns', 'By May 2024, farmers')} {pick('voted to extend', 'put off', 'weighed', 'disputed', 'recalculated')} {pick('a levy', 'the tariff', 'the treaty', 'a loan')} {pick('for herders', 'in the valley', 'by a year', 'after talks', 'of the port union')}."
+        text = " ".join(one() for _ in range(rng.randrange(2, 6)))
+        if k % 8 == 0:
+            text = text[: rng.randrange(30, len(text) - 6)].rstrip(" .")
+        elif k % 5 == 0:
+            text += " " + pick(*REMARKS)
+        out.append(text)
+    return out
 
 
 def test_truncation_cases():
+    (model,) = truncation.fit([reports(3000)])
     body = "The council voted to extend the levy in the northern basin. "
-    model = truncation.fit([body * 3 + f"Farmers disputed the baseline of the accord number {i}." for i in range(300)])
-    whole = ["More to follow…", "Register by 3 May 2026", "(Updated 24 Apr 2026)", "Keywords: levy; accord; basin", "Watch this space…", "[…]", "(4 min read)", "Share this.", "</p>", "”", "[…] ”", "[...]”</p>", "The full brief is at https://x.example/1"]
-    cut = ["Farmers in the", "Farmers in th…", "Farmers disputed [...]", "Farmers disputed the base… Continue reading →", "Farmers</", 'Farmers <a href="htt', "Farmers&#82", "Farm�", "Farmers disputed the... Read more Share this.", "Farmers dispu”", "Farmers disputed […] ”"]
+    whole = [*REMARKS, "Inschrijven voor 21 juni 2026", "(Filed from the northern desk) […]", "Farmers disputed it.", "It ended. […]", "It ended. (4 min read)", "It ended. Share this.", "It ended.</p>", "It ended.”", "It ended. […] ”", "It ended. [...]”</p>"]
+    cut = ["Farmers in the", "Farmers in th…", "Farmers disputed [...]", "Farmers disputed the base… Continue reading →", "Farmers</", 'Farmers <a href="htt', "Farmers&#82", "Farm�", "Farmers disputed the... Read more Share this.", "Farmers dispu”", "Farmers disputed […] ”", "Inschrijven vo"]
     assert [w for w in whole if model.score([body + w])[0] > 0.5] == []
     assert [w for w in cut if model.score([body + w])[0] < 0.5] == []
     assert model.score([None, "", "  "]) == [None, None, None]
 
 
+def test_truncation_learner_decides():
+    # where no value of the corpus closes with a remark, the same remarks are cut texts
+    (plain,) = truncation.fit([[t for t in reports(3000) if not t.endswith(REMARKS)]])
+    body = "The council voted to extend the levy in the northern basin. "
+    assert sum(plain.score([body + r])[0] > 0.5 for r in REMARKS) >= 3
+
+
 def test_truncation_odd_cases(spark):
     df = spark.createDataFrame([(1, None, 1.0), (2, "", 1.0), (3, "It ended. " * 20_000, 2.0), (3, "It ended. " * 3, 2.0)], "id long, v string, score double")
     assert sorted((r.id, r.is_cut) for r in truncation.cut_values(df.drop("score"), "id", "v").collect()) == [(3, False), (3, False)]

@@ -4,9 +4,12 @@ Whatever was put after a text (markup, "continue reading" and the like, notices
 set aside first; hashed logistic regression then scores how the text itself closes: its last
 characters and punctuation, open brackets and quotation marks, its last phrase with numbers
 masked, the raw length against lengths that pile up in the corpus. Positives for training are
-made by cutting intact values of a bounded sample inside a sentence and putting such notices
-after the cut; negatives are the intact values themselves, with and without closing remarks and such notices. Every
-record of the table is then scored.
+values of a bounded sample cut inside a sentence, with such notices put after some of them; negatives
+are the sampled values as they are, whatever they end with. Some of these are cut, too: each is
+judged by a model that hasn't seen it, and the next fit does without those taken for cut. Closing
+remarks without a full stop are learnt from the values that have them, and from how often a last
+phrase closes a value of the whole corpus; no remark is written down here. Every record of the
+table is then scored.
 
 Defined results: null and blank values are never cut; a value that ends with its sentence is
 whole whatever follows; a value cut exactly at the end of a sentence counts as whole; an empty
@@ -31,8 +34,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import alias_table, name_key
 from tidemark.runtime import bounded_sample, cut_lineage, require, table
 
-#: Rows of a field that training may see, and the size of the hashed weights.
-SAMPLE, WIDTH = 8_000, 1 << 15
+#: Rows of a field that training may see, the longest of their values, and the size of the hashed weights.
+SAMPLE, LONGEST, WIDTH = 5_000, 20_000, 1 << 15
+#: Rounds of leaving out values taken for cut, parts of the sample in turn judged by the others' model, steps of a fit, its rate and shrinkage.
+FITS, FOLDS, STEPS, RATE, SHRINK = 3, 2, 80, 0.5, 1e-2
 #: Values that a piled-up length and a frequent phrase have at least, and the lengths that a pile is held against.
 LEAST_PILED, LEAST_PHRASE, BESIDE = 8, 6, (-4, -3, -2, 2, 3, 4)
 TERMINAL = ".!?。！？"
@@ -44,33 +49,40 @@ AFTER = (
     r"share this\.?", r"the post appeared first on [^.]{1,80}\.?", r"published \d{1,2} \w{3,9} \d{4}\.?", r"[(\[]\s*\d+ min(?:utes?)? read\s*[)\]]", r"[(\[]\s*(?:…|\.{2,})\s*[)\]]", r"…", r"\.{2,}",
 )
 _AFTER = re.compile(rf"(?:{'|'.join(AFTER)})\s*$", re.I)
-_TAG = re.compile(r"<[^<>]*>\s*$")
-_HALF_TAG = re.compile(r"<[/a-zA-Z!][^<>]*$|<$")
+#: The most characters that what was put after a text takes, white space squeezed.
+_FURTHEST = 160
 _HALF_ENTITY = re.compile(r"&(?:#x?[0-9a-fA-F]{0,6}|[a-zA-Z]{0,7})$|\\(?:u[0-9a-fA-F]{0,4})?$")
 _INVISIBLE = re.compile(r"[​‌‍﻿­]")
-#: Closing remarks that end a whole text without a full stop, as seeds; frequent others are learnt. Fixed values.
-REMARKS = ("More to follow", "Watch this space", "And so the talks go on", "Register by 16 September 2026", "(Updated 24 Apr 2026)", "Keywords: water tariff; land cadastre; grid access", "The full brief is at https://docs.example/1234", "What happens next")
+_STOP = re.compile(r"[.!?](?=[\"'”’»)\]]*\s)|[。！？]")
 _MONTH = re.compile(r"\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\b")
 
 
 def own_text(value: str) -> tuple[str, list[str]]:
     """The text without what was put after it, and what kinds of thing were."""
-    text, seen = _INVISIBLE.sub("", value).strip(), []
+    text, seen = " ".join(_INVISIBLE.sub("", value).split()), []
     if text.endswith("�"):
         text, seen = text.rstrip("�"), ["torn byte"]
     while True:
-        if (m := _TAG.search(text)) or (m := _AFTER.search(text)):
-            seen.append("tag" if m.group().startswith("<") else re.sub(r"\d+|on .*", "#", m.group().strip().lower()))
-        elif m := _HALF_TAG.search(text):
+        tail, tag = max(0, len(text) - _FURTHEST), text.rfind("<")
+        closed = tag >= 0 and ">" in text[tag:]
+        if closed and text.index(">", tag) == len(text) - 1:
+            at = tag
+            seen.append("tag")
+        elif m := _AFTER.search(text, tail):
+            at = m.start()
+            seen.append(re.sub(r"\d+|on .*", "#", m.group().strip().lower()))
+        elif tag >= 0 and not closed and (text[tag + 1 : tag + 2].isalpha() or text[tag + 1 : tag + 2] in ("", "/", "!")):
+            at = tag
             seen.append("half tag")
-        elif m := _HALF_ENTITY.search(text):
+        elif m := _HALF_ENTITY.search(text, tail):
+            at = m.start()
             seen.append("half entity")
-        elif text and text[-1] in QUOTES and _AFTER.search(text.rstrip(QUOTES + " ")):
+        elif text and text[-1] in QUOTES and _AFTER.search(text.rstrip(QUOTES + " "), tail):
             text = text.rstrip(QUOTES + " ")
             continue
         else:
-            return html.unescape(re.sub(r"<[^<>]*>", " ", text)).strip(), seen
-        text = text[: m.start()].rstrip()
+            return html.unescape(re.sub(r"<[^<>]*>", " ", text) if tag >= 0 else text).strip(), seen
+        text = text[:at].rstrip()
 
 
 def _before_closers(text: str) -> int:
@@ -83,39 +95,46 @@ def _before_closers(text: str) -> int:
 def last_phrase(own: str) -> str:
     """What follows the last sentence end, or the last sentence where the text ends with one; numbers and months masked."""
     body = own[: _before_closers(own)].rstrip(TERMINAL)
-    at = max((m.end() for m in re.finditer(r"[.!?](?=[\"'”’»)\]]*\s)|[。！？]", body)), default=0)
+    at = max((m.end() for m in _STOP.finditer(body)), default=0)
     tail = body[at:].lstrip(CLOSERS + " \n\t").lower()
-    return _MONTH.sub("month", re.sub(r"https?://\S+", "url", re.sub(r"\d[\d,.]*", "#", tail)))
+    return _MONTH.sub("month", re.sub(r"\d[\d,.]*", "#", re.sub(r"https?://\S+", "url", tail)))
 
 
-def features(value: str, piled: frozenset[int], seeds: frozenset[str]) -> list[int]:
+def _phrase_hash(phrase: str) -> int:
+    return zlib.crc32(phrase.encode())
+
+
+def features(value: str, piled: frozenset[int], frequent: frozenset[int]) -> list[int]:
     own, after = own_text(value)
     at = _before_closers(own)
     last = own[at - 1] if at else ""
-    kind = "none" if not last else "end" if last in TERMINAL else "letter" if last.isalpha() else "digit" if last.isdigit() else f"sign {last}"
+    kind = "none" if not last else "end" if last in TERMINAL else "letter" if last.isalpha() else "digit" if last.isdigit() else "sign"
     phrase = last_phrase(own)
     words = phrase.split()
     torn = bool({"torn byte", "half tag", "half entity"} & set(after))
-    f = ["bias", f"kind {kind}", f"kind {kind} after {bool(after)}", f"at limit {len(value) in piled} {kind}", f"torn {torn}"]
+    f = ["bias", f"kind {kind}", f"kind {kind} after {bool(after)}", f"at limit {len(value) in piled} {kind}", f"torn {torn}", f"torn {torn} {kind}", f"last {own[at - 1 : at]}", f"open {own.count('(') > own.count(')')} {kind}", f"closed {at < len(own)} {kind}"]
     f += [f"after {a} {kind}" for a in set(after)]
-    if kind != "end":
-        f += [f"open {own.count('(') > own.count(')')}", f"closed {at < len(own)}", f"words {min(len(words), 12)}"]
-        if 1 < len(words) <= 8:
+    if kind != "end" and words:
+        often = _phrase_hash(phrase) in frequent
+        f += [f"words {min(len(words), 12)}", f"frequent {often}", f"first {words[0]}", f"listed {words[0][-1] == ':'} {phrase.count(';') > 1}"]
+        if often:
             f.append(f"phrase {phrase}")
-        if len(words) > 2:
-            f += [f"start {words[0]} {words[1]}", f"listed {words[0][-1] == ':'} {phrase.count(';') > 1}"]
-        f.append(f"remark {phrase in seeds or (bool(words) and words[0] == 'keywords:')}")
     return [zlib.crc32(x.encode()) % WIDTH for x in f]
 
 
 class Model:
-    """Weights, lengths that pile up, and phrases that close many whole texts."""
+    """Weights, lengths that pile up, and hashes of the phrases that close many texts."""
 
-    def __init__(self, weights: np.ndarray, piled: frozenset[int], seeds: frozenset[str]) -> None:
-        self.weights, self.piled, self.seeds = weights, piled, seeds
+    def __init__(self, weights: np.ndarray, piled: frozenset[int], frequent: frozenset[int]) -> None:
+        self.weights, self.piled, self.frequent = weights, piled, frequent
 
     def score(self, values: list[str | None]) -> list[float | None]:
-        return [None if v is None or not v.strip() else float(1 / (1 + np.exp(-np.clip(self.weights[features(v, self.piled, self.seeds)].sum(), -30, 30)))) for v in values]
+        return [None if v is None or not v.strip() else float(1 / (1 + np.exp(-np.clip(self.weights[features(v, self.piled, self.frequent)].sum(), -30, 30)))) for v in values]
+
+
+#: What may follow a text, cut or not, and what a cut tears. Fixed values.
+ENDINGS = (" […]", " Published 3 May 2026.", " (4 min read)", " Share this.", "</p>", "<br/>", " [more]", " The post appeared first on Site.", "… Continue reading →", "”", "»")
+TEARS = ("", "", "", " Published 3 May 2026.", "…", "...", " […]", " [...]", " (...)", "… Continue reading →", "...more", "…more", " [more]", "... Read more", "... Read the full story", "”", "</p>", "</", " (4 min read)", " Share this.", "…</p>", '<a href="htt', "&#82", "�", " The post appeared first on Site.")
 
 
 def cut_artificially(value: str, rng: random.Random, limits: list[int]) -> str | None:
@@ -131,22 +150,22 @@ def cut_artificially(value: str, rng: random.Random, limits: list[int]) -> str |
     text = own[:at].rstrip()
     if not text or text[_before_closers(text) - 1 :][:1] in TERMINAL or last_phrase(text) == "":
         return None
-    return text + rng.choice(("", "", "", "…", "...", " […]", " [...]", " (...)", "… Continue reading →", "...more", "…more", " [more]", "... Read more", "... Read the full story", "”", "</p>", "</", " (4 min read)", " Share this.", "…</p>", '<a href="htt', "&#82", "�", " The post appeared first on Site."))
+    return text + rng.choice(TEARS)
 
 
-def _closing(value: str) -> str | None:
-    """The masked last phrase of a value that may close with a remark."""
+def _closing(value: str) -> int | None:
+    """The hash of the masked last phrase of a value that doesn't end with its sentence."""
     own, _ = own_text(value)
     at = _before_closers(own)
-    if at and own[at - 1] not in TERMINAL:
-        phrase = last_phrase(own)
-        if len(phrase.split()) >= 3 and phrase.endswith(("#", "url", "month")):
-            return phrase
-    return None
+    return _phrase_hash(last_phrase(own)) if at and own[at - 1] not in TERMINAL else None
 
 
-def corpus_statistics(rows: DataFrame) -> tuple[frozenset[int], frozenset[str]]:
-    """The lengths that pile up and the frequent closing phrases of all values of ``_value``.
+def _piled(lengths: dict[int, int], least: float) -> frozenset[int]:
+    return frozenset(n for n, k in lengths.items() if k >= least and k > 4 * np.mean([lengths.get(n + d, 0) for d in BESIDE]))
+
+
+def corpus_statistics(rows: DataFrame) -> tuple[frozenset[int], frozenset[int]]:
+    """The lengths that pile up and the hashes of frequent closing phrases of all values of ``_value``.
 
     At most 100,000 lengths, as each holds that share of all values, and 1,500 phrases for the same reason.
     """
@@ -155,10 +174,10 @@ def corpus_statistics(rows: DataFrame) -> tuple[frozenset[int], frozenset[str]]:
         for b in batches:
             values = [v for v in b["_value"] if v and v.strip()]
             out = [(n, None, k) for n, k in Counter(map(len, values)).items()]
-            out += [(None, p, k) for p, k in Counter(filter(None, map(_closing, values))).items()]
-            yield pd.DataFrame(out, columns=["size", "phrase", "n"]).astype({"size": "Int64"})
+            out += [(None, p, k) for p, k in Counter(p for p in map(_closing, values) if p is not None).items()]
+            yield pd.DataFrame(out, columns=["size", "phrase", "n"]).astype({"size": "Int64", "phrase": "Int64"})
 
-    counts = cut_lineage(rows.select("_value").mapInPandas(count, "size long, phrase string, n long").groupBy("size", "phrase").agg(F.sum("n").alias("n")))
+    counts = cut_lineage(rows.select("_value").mapInPandas(count, "size long, phrase long, n long").groupBy("size", "phrase").agg(F.sum("n").alias("n")))
     lengths = counts.where("size is not null").select("size", "n")
     total = lengths.agg(F.sum("n")).first()[0] or 0
     # beside the lengths next to it, which a limit may share
@@ -169,52 +188,84 @@ def corpus_statistics(rows: DataFrame) -> tuple[frozenset[int], frozenset[str]]:
     return frozenset(r[0] for r in piled), frozenset(r[0] for r in phrases)
 
 
-def fit(values: list[str], seed: int = 11, epochs: int = 4, statistics: tuple[frozenset[int], frozenset[str]] | None = None) -> Model:
-    """A model from intact values found among ``values``; ``statistics`` are those of the whole corpus, else of ``values``."""
+def _regress(rows: list[tuple[int, ...]], negative: np.ndarray, positive: np.ndarray) -> np.ndarray:
+    """Weights of logistic regression on rows that stand for so many of each class, by steps scaled to each weight's past gradients; both classes count alike."""
+    weights = np.zeros(WIDTH)
+    chosen = np.flatnonzero(negative + positive)
+    if not len(chosen):
+        return weights
+    which = np.repeat(np.arange(len(chosen)), [len(rows[k]) for k in chosen])
+    feats, at = np.unique(np.fromiter((f for k in chosen for f in rows[k]), np.int64, len(which)), return_inverse=True)
+    w, squares, total = np.zeros(len(feats)), np.full(len(feats), 1e-8), negative.sum() + positive.sum()
+    low, high = negative[chosen] / max(1, negative.sum()) / 2, positive[chosen] / max(1, positive.sum()) / 2
+    for _ in range(STEPS):
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(which, w[at], len(chosen)), -30, 30)))
+        g = np.bincount(at, (p * low - (1 - p) * high)[which], len(feats)) + SHRINK * w / total
+        squares += g * g
+        w -= RATE * g / np.sqrt(squares)
+    weights[feats] = w
+    return weights
+
+
+def statistics_of(values: list[str]) -> tuple[frozenset[int], frozenset[int]]:
+    """As ``corpus_statistics``, of a list."""
+    phrases = Counter(p for p in map(_closing, values) if p is not None)
+    return _piled(Counter(map(len, values)), LEAST_PILED), frozenset(p for p, n in phrases.items() if n >= max(LEAST_PHRASE, len(values) // 1500))
+
+
+def fit(fields: list[list[str]], statistics: list[tuple[frozenset[int], frozenset[int]]] | None = None, seed: int = 11) -> list[Model]:
+    """A model for each field, from their values as they are and cut; the weights are of all fields together, ``statistics`` those of each whole field, else of the values."""
     rng = random.Random(seed)
-    values = [v for v in values if v and v.strip()]
-    if statistics is None:
-        lengths, phrases = Counter(map(len, values)), Counter(filter(None, map(_closing, values)))
-        piled = frozenset(n for n, k in lengths.items() if k >= LEAST_PILED and k > 4 * np.mean([lengths.get(n + d, 0) for d in BESIDE]))
-        statistics = piled, frozenset(p for p, n in phrases.items() if n >= max(LEAST_PHRASE, len(values) // 1500))
-    piled = statistics[0]
-    frozen = frozenset({last_phrase(own_text(r)[0]) for r in REMARKS}) | statistics[1]
-    rows, labels = [], []
-    for v in values:
-        own, after = own_text(v)
-        at = _before_closers(own)
-        phrase = last_phrase(own)
-        remark = phrase in frozen or phrase.startswith("keywords:")
-        if {"torn byte", "half tag", "half entity"} & set(after) or not at or not (own[at - 1] in TERMINAL or remark):
-            continue
-        rows.append(features(v, piled, frozen))
-        labels.append(0)
-        if rng.random() < 0.4 and not remark:
-            ending = rng.choice((" […]", " (4 min read)", " Share this.", "</p>", "<br/>", " [more]", " The post appeared first on Site.", "… Continue reading →", "”", "»", *(f" {r}" for r in REMARKS), *(f" {r}…" for r in REMARKS[:3])))
-            rows.append(features(v + ending, piled, frozen))
-            labels.append(0)
-        if not remark and (cut := cut_artificially(v, rng, sorted(piled))):
-            rows.append(features(cut, piled, frozen))
-            labels.append(1)
-    weights, squares = np.zeros(WIDTH), np.full(WIDTH, 1e-6)
-    order = list(range(len(rows)))
-    for _ in range(epochs):
-        rng.shuffle(order)
-        for i in order:
-            f = rows[i]
-            g = 1 / (1 + np.exp(-np.clip(weights[f].sum(), -30, 30))) - labels[i]
-            squares[f] += g * g
-            weights[f] -= 0.5 * g / np.sqrt(squares[f]) + 1e-6 * weights[f]
-    return Model(weights, piled, frozen)
-
-
-def cut_values(df: DataFrame, ident: str, text: str, carry: list[str] | None = None, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """ident, carry..., score, is_cut of every row with text that isn't blank."""
+    fields = [[v for v in f if v and v.strip()] for f in fields]
+    statistics = statistics or [statistics_of(f) for f in fields]
+    frequent = frozenset().union(*(s[1] for s in statistics))
+    rows: dict[tuple[int, ...], int] = {}
+    row_of = lambda v, piled: rows.setdefault(tuple(features(v, piled, frequent)), len(rows))
+    whole, follow, cut = [], [], []  # rows by number; -1 for none
+    for values, (piled, _) in zip(fields, statistics, strict=True):
+        for v in dict.fromkeys(values):
+            whole.append(row_of(v, piled))
+            # a value with something of a site's after it stays what it is
+            follow.append(row_of(v + rng.choice(ENDINGS), piled) if rng.random() < 0.3 else -1)
+            cut.append(row_of(c, piled) if (c := cut_artificially(v, rng, sorted(piled))) else -1)
+    whole, follow, cut, listed = np.array(whole, int), np.array(follow, int), np.array(cut, int), list(rows)
+    of = np.array([rng.randrange(FOLDS) for _ in whole])
+
+    def weights(chosen: np.ndarray, kept: np.ndarray) -> np.ndarray:
+        count = lambda *which: sum(np.bincount(x[x >= 0], minlength=len(listed)) for x in which)
+        return _regress(listed, count(whole[chosen & kept], follow[chosen & kept]), count(cut[chosen]))
+
+    kept = np.ones(len(whole), bool)
+    for _ in range(FITS):
+        now = kept.copy()
+        for k in range(FOLDS):  # a value is judged by a model that hasn't seen it
+            w = weights(of != k, kept)
+            for i in np.flatnonzero(of == k):
+                now[i] = w[list(listed[whole[i]])].sum() < 0
+        if (now == kept).all():
+            break
+        kept = now
+    last = weights(np.ones(len(whole), bool), kept)
+    return [Model(last, piled, frequent) for piled, _ in statistics]
+
+
+def models_for(fields: list[tuple[DataFrame, str, str]], sample: int = SAMPLE) -> list[Model]:
+    """A model for each field (table, id, text), from at most ``sample`` values of each and the statistics of all of them."""
+    chosen, statistics = [], []
+    for df, ident, text in fields:
+        rows = df.select(F.col(ident).alias("_id"), F.col(text).alias("_value"))
+        statistics.append(corpus_statistics(rows))
+        some = bounded_sample(rows, "_id", sample).where((F.trim("_value") != "") & (F.length("_value") <= LONGEST))
+        chosen.append([r[0] for r in some.select("_value").toLocalIterator()])
+    return fit(chosen, statistics)
+
+
+def cut_values(df: DataFrame, ident: str, text: str, carry: list[str] | None = None, threshold: float = 0.5, model: Model | None = None) -> DataFrame:
+    """ident, carry..., score, is_cut of every row with text that isn't blank; by a model of this field if none is given."""
     require(df, ident, text, *(carry or []))
     rows = df.select(*dict.fromkeys([ident, *(carry or [])]), df[text].alias("_value"))
-    chosen = [r[0] for r in bounded_sample(rows, ident, sample).where(F.trim("_value") != "").select("_value").toLocalIterator()]
-    model = fit(chosen, statistics=corpus_statistics(rows))
-    held = rows.sparkSession.sparkContext.broadcast(model)  # bounded: the hashed weights, and the lengths and short phrases as corpus_statistics bounds them
+    model = model or models_for([(df, ident, text)])[0]
+    held = rows.sparkSession.sparkContext.broadcast(model)  # bounded: the hashed weights, and the lengths and phrases as corpus_statistics bounds them
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -229,9 +280,10 @@ FIELDS = (("candidates", "candidate_id", "summary_hint", "source_org"), ("readin
 
 
 def _all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = models_for([(table(spark, sf_dir, t), i, field) for t, i, field, _ in FIELDS])
     parts = []
-    for t, i, field, owner in FIELDS:
-        scored = cut_values(table(spark, sf_dir, t).select(i, owner, field), i, field, [owner])
+    for (t, i, field, owner), model in zip(FIELDS, models, strict=True):
+        scored = cut_values(table(spark, sf_dir, t).select(i, owner, field), i, field, [owner], model=model)
         parts.append(scored.select(F.lit(t).alias("record_table"), F.col(i).alias("record_id"), F.lit(field).alias("field_name"), F.col(owner).alias("owner"), "is_cut"))
     return reduce(DataFrame.unionByName, parts)
 
