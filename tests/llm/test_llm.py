@@ -56,28 +56,70 @@ def test_capping_odd_cases(spark):
 # --- 2 ---------------------------------------------------------------------------------------
 
 TEXT = "The council voted to extend the water levy by two years, and the ministry published its terms. Farmers in the valley disputed the baseline before the session."
-PAGES = [
-    ("Home\nNews\nAbout us\n\n" + TEXT + "\nWhat comes next\n" + TEXT + "\n\nRelated articles\nWho pays for the levy\nThe port reform (3 min read)\n© 2024 Org. All rights reserved.", {1, 2, 3, 9, 10, 11, 12}),
-    ("Accept all\nMost read\nSomething short\n", {1, 2, 3}), (TEXT, set()), ("", set()), ("\n\n", set()), ("Skip to main content\n\n" + "- " + TEXT + "\nAdvertisement\n“" + TEXT + "”", {1, 4}),
-]
+#: Furniture in words of its own, in English and Dutch: none of it stands in the package.
+SITES = (
+    ("The Weir", ("Front | Desk | People | Archive", "Stories » Water"), ("This website stores data such as preferences and visits.", "Get our weekly digest by post", "May be reproduced with attribution to The Weir."), ("What readers opened today", "Picked for you")),
+    ("De Sluis", ("Voorpagina | Redactie | Archief", "Verhalen » Water"), ("Deze site bewaart gegevens over uw bezoek.", "Ontvang elke maandag onze brief", "Overname toegestaan met vermelding van De Sluis."), ("Veel geopend vandaag", "Voor u gekozen")),
+    ("Northern Gauge", ("Start | Themes | Staff", "Reports » Rivers"), ("Visits to this website are measured.", "Ask for our letter on Fridays", "Text may be reused if Northern Gauge is named."), ("Also on the gauge", "Others opened")),
+)
+
+
+def site_pages(n, seed=12):
+    """(page, numbers of the lines that aren't the article's) of made-up sites; one page in ten has no article."""
+    rng = random.Random(seed)
+    pick = lambda *w: rng.choice(w)
+    phrase = lambda: f"{pick('the council', 'a ministry', 'two banks', 'seven towns', 'the port union', 'a tribunal', 'de raad', 'het bestuur')} {pick('extends', 'puts off', 'weighs', 'disputes', 'recalculates', 'verlengt', 'betwist')} {pick('a levy', 'the tariff', 'the treaty', 'a loan', 'de heffing', 'het verdrag')} {pick('for herders', 'in the valley', 'by a year', 'after talks', 'in de vallei', 'voor vissers')}"
+    out = []
+    for _ in range(n):
+        _, top, notes, heads = pick(*SITES)
+        lines = [(t, True) for t in top]
+        if rng.random() < 0.9:
+            for k in range(rng.randrange(2, 5)):
+                if k and rng.random() < 0.3:
+                    lines.append((f"On {phrase()}", False))
+                lines.append((". ".join(phrase().capitalize() for _ in range(rng.randrange(2, 5))) + f", in {rng.randrange(1900, 2030)} and {rng.randrange(10**6)}.", False))
+        lines += [(pick(*heads), True), *((phrase().capitalize(), True) for _ in range(rng.randrange(1, 4)))]
+        lines += [(t, True) for t in rng.sample(notes, rng.randrange(1, 4))]
+        out.append(("\n".join(t for t, _ in lines), {k for k, (_, bad) in enumerate(lines, 1) if bad}))
+    return out
+
+
+def test_boilerplate_held_out():
+    pages = site_pages(600)
+    model = boilerplate.fit([p for p, _ in pages[:400]], boilerplate.shares_of([p for p, _ in pages]))
+    got = [set(x) for x in boilerplate.furniture_lines([p for p, _ in pages[400:]], model)]
+    true = [t for _, t in pages[400:]]
+    both = sum(len(a & b) for a, b in zip(got, true, strict=True))
+    assert both > 0.95 * sum(map(len, true)) and both > 0.98 * sum(map(len, got))
+
+
+def test_boilerplate_learner_decides():
+    import numpy as np
+
+    pages = [p for p, _ in site_pages(600)]
+    model = boilerplate.fit(pages[:400], boilerplate.shares_of(pages))
+    with_trees = boilerplate.furniture_lines(pages[400:], model)
+    model.trees = boilerplate.fit_trees(np.zeros((0, boilerplate.FEATURES), np.float32), np.zeros(0))
+    assert with_trees != boilerplate.furniture_lines(pages[400:], model)
 
 
-def test_boilerplate(spark):
-    model = boilerplate.model_for(table(spark, DATA, "candidates").where("full_text is not null"), "candidate_id", "full_text")
-    got = boilerplate.furniture_lines([p for p, _ in PAGES], model)
-    assert [set(x) for x in got] == [x for _, x in PAGES]
+def test_boilerplate_words_carry_over():
+    pages = site_pages(600)
+    model = boilerplate.fit([p for p, _ in pages], boilerplate.shares_of([p for p, _ in pages]))
+    # lines that no page has, in the words of those that many have
+    page = "Front | People | Archive | Themes\n\n" + "\n".join(TEXT for _ in range(3)) + "\n\nOthers picked\nSeven towns weigh the loan\nOntvang onze brief elke vrijdag\nMay be reused with attribution."
+    assert set(boilerplate.furniture_lines([page], model)[0]) == {1, 7, 8, 9, 10}
 
 
-def test_boilerplate_held_out(spark):
-    pages = [r[0] for r in table(spark, DATA, "candidates").where("full_text is not null").orderBy("candidate_id").select("full_text").collect()]
-    model, right, total = boilerplate.fit(pages[::2]), 0, 0
-    for p in pages[1::2]:
-        lines = boilerplate.read_lines(p)
-        y = boilerplate.label(lines)
-        bad = set(boilerplate.furniture_lines([p], model)[0])
-        right += sum((x.no in bad) == (v == 1) for x, v in zip(lines, y, strict=True) if v >= 0)
-        total += sum(v >= 0 for v in y)
-    assert total and right / total > 0.97
+def test_boilerplate_repeated_lines(spark):
+    pages = [p for p, _ in site_pages(300)]
+    pages += [pages[0]] * 7 + ["", "\n", "  \u200b Front | Desk | People | Archive\t"]
+    got = boilerplate.repeated_lines(spark.createDataFrame([(p,) for p in pages] + [(None,)], "page string"), "page")
+    want = boilerplate.shares_of(pages)
+    # marks that share a bit may hide a line that is on few pages
+    assert want and {k for k, v in want.items() if v > 0.05} <= set(got) <= set(want) and all(abs(want[k] - v) < 1e-9 for k, v in got.items())
+    # a line that only copies of one page have isn't repeated
+    assert not {x.key for x in boilerplate.read_lines(pages[0]) if ", in " in x.text} & set(got)
 
 
 def test_boilerplate_odd_cases(spark):
@@ -168,12 +210,15 @@ def test_residue_odd_cases(spark):
     assert residue.residue_values(df.limit(0), "id", "v").count() == 0
 
 
-def test_boilerplate_reads_the_marks_of_long_lines():
+def test_boilerplate_reads_long_lines():
     notice = "We use cookies to improve this site. "
-    cues = boilerplate.attributes(notice)[0]
-    assert cues and boilerplate.attributes(notice * 20)[0] & cues
-    menu = boilerplate.attributes(" | ".join(["Home", "About", "Contact"] * 20))
-    assert menu[1] > 0.5 and menu[2] == 60
+    cues = boilerplate.read_line(notice)[2]
+    assert cues and boilerplate.read_line(notice * 20)[2] & cues
+    assert boilerplate.read_line(" | ".join(["Home", "About", "Contact"] * 20))[3] == 60
+    # a notice of 740 characters that pages repeat is no running text
+    pages = [p + "\n" + notice * 20 for p, _ in site_pages(300)]
+    model = boilerplate.fit(pages, boilerplate.shares_of(pages))
+    assert all(p.count("\n") + 1 in x for p, x in zip(pages, boilerplate.furniture_lines(pages, model), strict=True))
 
 
 # --- 4 ---------------------------------------------------------------------------------------
