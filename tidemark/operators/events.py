@@ -6,16 +6,18 @@ kept one's event id, which later reports then see. That is a single ordered pass
 that could meet at all, so rows are first brought together by connected components of the
 three things a match needs one of (address, event id, a name as near as a match asks, of the same
 year and digits), found in rounds of minimum labels, and each component is passed through on its
-own. Near names are found by an exact block: names whose ratio is 0.9 differ in at most a tenth of
+own, each report meeting only the kept ones that indexes by address, event and name name. Near names are found by an exact block: names whose ratio is 0.9 differ in at most a tenth of
 their letters, so of one more segments than that, one recurs in the other name at a bounded shift.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -125,25 +127,71 @@ def near_names(names: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "name_a", "name_b").mapInPandas(_verified, f"a {kind}, b {kind}")
 
 
+class Pool:
+    """The kept reports of one component, found by address, by event and by name, in order of arrival."""
+
+    def __init__(self) -> None:
+        self.kept: list[dict] = []
+        self.at: dict[tuple[str, str], list[int]] = defaultdict(list)
+        self.names: dict[str, dict[str, list[str]]] = defaultdict(dict)  # by block: a name and the names near it
+
+    def near(self, block: str, name: str) -> list[str]:
+        """The names of kept reports of the block that are near ``name``, itself among them."""
+        held = self.names[block]
+        if name not in held:
+            held[name] = [x for x in held if _near(name, x)] + [name]
+            for x in held[name][:-1]:
+                held[x].append(name)
+        return held[name]
+
+    def places(self, report: dict) -> list[int]:
+        """Where the reports are that share an address or a name with this one."""
+        found = [self.at["url", report["url_key"]]] if report["url_key"] else []
+        found += [self.at["name " + report["block"], x] for x in self.near(report["block"], report["name"].lower())]
+        return [k for places in found for k in places]
+
+    def keep(self, report: dict) -> None:
+        place = len(self.kept)
+        self.kept.append(report)
+        for key in (("url", report["url_key"]), ("event", report["event_out"]), ("name " + report["block"], report["name"].lower())):
+            if key[1] or key[0].startswith("name"):
+                self.at[key].append(place)
+
+    def settle(self, report: dict) -> int | None:
+        """The id of the kept report that this one repeats; where there is none the event of the last one of its event is its own."""
+        report["event_out"] = report["event_id"]
+        by_name = set(self.places(report))
+        agenda = [*by_name, *(self.at["event", report["event_out"]] if report["event_out"] else ())]
+        heapify(agenda)
+        done, named = -1, self.near(report["block"], report["name"].lower())
+        while agenda:
+            place = heappop(agenda)
+            if place <= done:
+                continue
+            done, other = place, self.kept[place]
+            versions = {v for v in (report["modified"], other["modified"]) if v}
+            if report["url_key"] and report["url_key"] == other["url_key"] and len(versions) < 2:
+                return other["id"]
+            alike = other["block"] == report["block"] and other["name"].lower() in named
+            if not alike and (not report["event_out"] or other["event_out"] != report["event_out"]):
+                continue
+            if all(report[c] == other[c] for c in ("stage", "published")) and (report["fingerprint"] == other["fingerprint"] or _near(report["summary"].lower(), other["summary"].lower())):
+                return other["id"]
+            if report["event_out"] != other["event_out"]:
+                report["event_out"] = other["event_out"]
+                for k in self.at["event", other["event_out"]]:
+                    heappush(agenda, k)
+        return None
+
+
 def pass_through(reports: list[dict]) -> list[dict]:
     """The ordered pass over one component; adds ``event_out`` and ``duplicate_of``."""
-    kept: list[dict] = []
+    pool = Pool()
     for r in reports:
-        r["event_out"], r["duplicate_of"] = r["event_id"], None
-        for k in kept:
-            same_url = r["url_key"] != "" and r["url_key"] == k["url_key"]
-            same_event = (r["event_out"] != "" and r["event_out"] == k["event_out"]) or (
-                r["published"][:4] == k["published"][:4] and re.findall(r"\d+", r["name"]) == re.findall(r"\d+", k["name"]) and _near(r["name"].lower(), k["name"].lower())
-            )
-            same_update = same_event and r["stage"] == k["stage"] and r["published"] == k["published"] and (r["fingerprint"] == k["fingerprint"] or _near(r["summary"].lower(), k["summary"].lower()))
-            version = r["modified"] == k["modified"] or not r["modified"] or not k["modified"]
-            if (same_url and version) or same_update:
-                r["duplicate_of"] = k["id"]
-                break
-            if same_event:
-                r["event_out"] = k["event_out"]
+        r["block"] = r["published"][:4] + "|" + ",".join(re.findall(r"\d+", r["name"]))
+        r["duplicate_of"] = pool.settle(r)
         if r["duplicate_of"] is None:
-            kept.append(r)
+            pool.keep(r)
     return reports
 
 
