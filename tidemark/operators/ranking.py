@@ -29,11 +29,11 @@ def nth(by: list[str], order: list[Column], out: str = "nth") -> Column:
 def cap_then_fill(df: DataFrame, source: str, order: list[Column], most: int, per_source: int, fill: bool = True) -> DataFrame:
     """The best ``most`` rows with at most ``per_source`` of a source; where these are too few and ``fill``, the best others after them.
 
-    The per-source rank is limited before its shuffle when not filling; the end is a top-k, not a sort.
+    No source gives more than ``most``, so the rank within a source is limited before its shuffle; the end is a top-k, not a sort.
     """
-    ranked = df.withColumn("_n", nth([source], order))
+    ranked = df.withColumn("_n", nth([source], order)).where(F.col("_n") <= (most if fill else min(most, per_source)))
     if not fill:
-        return ranked.where(F.col("_n") <= per_source).orderBy(*order).limit(most).drop("_n")
+        return ranked.orderBy(*order).limit(most).drop("_n")
     return ranked.orderBy((F.col("_n") > per_source).cast("int"), *order).limit(most).drop("_n")
 
 
@@ -47,16 +47,16 @@ def first_per_key(df: DataFrame, key: str, order: list[Column], keep_unknown: bo
 def diversity_pool(df: DataFrame, source: str, score: str, date: str, pos: str, pool: int) -> DataFrame:
     """The first ``pool`` rows, with ``editorial_rank``, where each pick takes the best score, of equals the source picked least so far, then the latest date.
 
-    A row's turn among its source's equals is its rank there, so one window and a top-k do it.
+    A row's turn among its source's equals is its rank there, so one window, limited to ``pool`` before its shuffle, and a top-k do it.
     """
     order = [F.desc(score), F.desc_nulls_last(date), F.asc(pos)]
-    top = df.withColumn("_n", nth([source], order)).orderBy(F.desc(score), "_n", F.desc_nulls_last(date), pos).limit(pool)
+    top = df.withColumn("_n", nth([source], order)).where(F.col("_n") <= pool).orderBy(F.desc(score), "_n", F.desc_nulls_last(date), pos).limit(pool)
     return with_position(top, [F.desc(score), F.asc("_n"), F.desc_nulls_last(date), F.asc(pos)], "editorial_rank").drop("_n")
 
 
 def balanced(df: DataFrame, mode: str, rank: str, size: int, each: int, modes: tuple[str, str]) -> DataFrame:
     """``each`` of either mode, filled up to ``size`` by rank, in the order of rank."""
-    turn = df.withColumn("_n", nth([mode], [F.asc(rank)]))
+    turn = df.withColumn("_n", nth([mode], [F.asc(rank)])).where(F.col("_n") <= size)
     first = F.col(mode).isin(*modes) & (F.col("_n") <= each)
     return turn.orderBy((~first).cast("int"), rank).limit(size).drop("_n").orderBy(rank)
 

@@ -19,14 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share.
 
-    Read from ``spark.checkpoint.dir``; only where that is unset (tests, local runs) a
-    temporary folder is made and set.
+    Read from ``spark.checkpoint.dir``; only where that is unset a temporary folder is made and
+    set, and only on a local master: on a cluster no machine's own folder would do.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found
     held = spark.sparkContext.getCheckpointDir()
     if not held:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         held = spark.sparkContext.getCheckpointDir()
     return held
@@ -67,12 +69,14 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, s
     whatever the size of the data, so that list may be broadcast. A hot key's rows are spread
     over ``salts`` partitions by ``spread`` and its right row is repeated for each.
     """
+    salt, hot = (fresh(left, fresh(right, n)) for n in ("_salt", "_hot"))
     total = right.agg((F.sum(weight) * F.lit(share)).alias("_limit"))
-    hot = right.join(F.broadcast(total), F.col(weight) > F.greatest(F.col("_limit"), F.lit(100_000)), "left_semi").select(*on, F.lit(True).alias("_hot"))
-    hot = F.broadcast(hot)
-    salted = left.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))).drop("_hot")
-    copies = right.join(hot, on, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    # one row, and at most 1 / share rows
+    heavy = right.join(F.broadcast(total), F.col(weight) > F.greatest(F.col("_limit"), F.lit(100_000)), "left_semi").select(*on, F.lit(True).alias(hot))
+    heavy = F.broadcast(heavy)
+    salted = left.join(heavy, on, "left").withColumn(salt, F.when(F.col(hot), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))).drop(hot)
+    copies = right.join(heavy, on, "left").withColumn(salt, F.explode(F.when(F.col(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop(hot)
+    return salted.join(copies, [*on, salt], how).drop(salt)
 
 
 def require(df: DataFrame, *columns: str) -> None:
