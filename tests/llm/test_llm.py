@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import DATA, same_as_sql
 from tidemark.llm import boilerplate, capping, history, mixing, registry, residue, spelling, splitting, tokens, truncation
@@ -44,6 +45,29 @@ def test_capping_as_sorting(spark):
     assert sorted(r.id for r in got.where("over_limit").collect()) == over(rows) and got.count() == len(rows)
 
 
+@pytest.mark.parametrize("kind, scores", [("double", [0.9, 0.95, 0.99, -0.5, -0.75, 0.0, -0.0, 1e300, float("inf"), float("nan"), None]), ("decimal(9,3)", [0.125, 7.5, 12.0, None])])
+def test_capping_by_fractions(spark, kind, scores):
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), rng.choice(scores), i * 3 - 100, 7) for i in range(90)]
+    df = spark.createDataFrame([(a, None if s is None else str(s), i, c) for a, s, i, c in rows], "src string, score string, id long, lim int").withColumn("score", F.col("score").cast(kind))
+    got = capping.cap_records(df, ["src"], "score", "id", "lim")
+    want = over([(a, None if s is None or s != s else s, i, c) for a, s, i, c in rows])
+    assert sorted(r.id for r in got.where("over_limit").collect()) == want and got.columns == [*df.columns, "over_limit"]
+
+
+def test_capping_by_share_and_refusals(spark):
+    df = spark.createDataFrame([("a", k / 10, k, "x" if k % 2 else "y") for k in range(60)] + [("b", 1.0, 100 + k, "x") for k in range(10)] + [("c", 1.0, 200, None)], "src string, score double, id long, part string")
+    capped = capping.cap_records(capping.share_caps(df, 0.5, []), ["src"], "score", "id", "cap")
+    assert Counter(r.src for r in capped.where("not over_limit").collect()) == {"a": 35, "b": 10, "c": 1}
+    # within parts: 40 records in x, 30 in y; those of no part have no cap
+    parts = capping.cap_records(capping.share_caps(df, 0.25, ["part"]), ["part", "src"], "score", "id", "cap")
+    assert Counter((r.part, r.src) for r in parts.where("not over_limit").collect()) == {("x", "a"): 10, ("x", "b"): 10, ("y", "a"): 7, (None, "c"): 1}
+    with pytest.raises(ValueError):
+        capping.cap_records(df.withColumn("lim", F.lit(1)), ["src"], "score", "src", "lim")
+    with pytest.raises(ValueError):
+        capping.cap_records(df.withColumn("lim", F.lit(1)), ["src"], "part", "id", "lim")
+
+
 def test_capping_odd_cases(spark):
     empty = spark.createDataFrame([], "src string, score int, id long, lim int, _cut_hi string, _g0 int")
     assert capping.cap_records(empty, ["src"], "score", "id", "lim").count() == 0
@@ -289,7 +313,7 @@ def test_history_as_brute_force(spark):
     mine = [(r.id, history.words(r.title) + history.words(r.summary)) for r in c.collect() if len(history.words(r.summary)) >= history.SHORT]
     theirs = [(r.id, history.words(r.title) + history.words(r.summary)) for r in h.collect() if len(history.words(r.summary)) >= history.SHORT]
     expected = {(k, i) for i, a in mine for k, b in theirs if history.same_text(b, a)}
-    got = {(r.kept_id, r.id) for r in history.content_pairs(c, h).collect()}
+    got = {(r.kept_id, r.id) for r in history.content_pairs(c, history.Accepted(h)).collect()}
     assert expected and got <= expected and len(got) >= 0.9 * len(expected)
 
 
@@ -310,14 +334,37 @@ def test_history_appends_and_odd_cases(spark, tmp_path):
     body = "By June 2024 the council of the northern basin voted to extend the water levy while donors waited for figures and farmers disputed the baseline of the accord"
     old = spark.createDataFrame([(1, None, None, None, "Levy", body), (2, None, None, None, "Same title", None)], kind)
     new = spark.createDataFrame([(10, None, None, None, "Levy", body.replace("water", "river").upper()), (11, None, None, None, "Levy", body.replace("water", "river").upper()), (12, None, None, None, "Same title", None), (13, None, None, None, None, "word " * 20_000)], kind)
-    path = str(tmp_path / "chunks")
-    history.ChunkIndex.build(old.where("id = 2").select("id", "title", "summary")).write(path)
-    history.ChunkIndex.append(path, old.where("id = 1").select("id", "title", "summary"))
-    got = history.duplicates(new, old, history.ChunkIndex.read(spark, path))
+    path = str(tmp_path / "store")
+    history.Store.create(path, old.where("id = 2"), 32).append(old.where("id = 1"))
+    got = history.duplicates(new, history.Store.open(spark, path, 32))
     assert {(r.kept_id, r.id) for r in got.collect()} == {(1, 10), (1, 11)}
     assert history.duplicates(new.limit(0), old).count() == 0 and history.duplicates(new, old.limit(0)).count() == 0
 
 
+def test_history_short_summaries(spark):
+    kind = "id long, url string, doi string, fingerprint string, title string, summary string"
+    old = spark.createDataFrame([(1, None, None, None, "Levy", "Votes put off again."), (2, None, None, None, "Levy", "..."), (3, None, None, None, "Port", "Votes put off")], kind)
+    new = spark.createDataFrame([(10, None, None, None, "LEVY", "votes <b>put</b> off, again"), (11, None, None, None, "Levy", "Votes put off"), (12, None, None, None, "Levy", "...")], kind)
+    assert {(r.kept_id, r.id) for r in history.duplicates(new, old).collect()} == {(1, 10)}
+
+
+def test_history_reads_what_a_batch_needs(spark, tmp_path):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    kind = "id long, url string, doi string, fingerprint string, title string, summary string"
+    rows = [(i, f"https://h.example/{i}", None, None, word(), " ".join(word() for _ in range(30))) for i in range(300)]
+    old = spark.createDataFrame(rows, kind)
+    path = str(tmp_path / "store")
+    history.Store.create(path, old, 128)
+    read = {}
+    for n in (1, 60):
+        store = history.Store.open(spark, path, 128)
+        batch = spark.createDataFrame([(1000 + r[0], r[1] if k % 2 else None, None, None, r[4], r[5]) for k, r in enumerate(rows[:n])], kind)
+        assert {(r.kept_id, r.id) for r in history.duplicates(batch, store).collect()} == {(i, 1000 + i) for i in range(n)}
+        read[n] = sum(store.read.values())
+    assert read[1] < 12 and read[1] < read[60] / 4
+
+
 # --- 7 ---------------------------------------------------------------------------------------
 
 

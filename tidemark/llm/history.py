@@ -4,19 +4,25 @@ Two ways lead from a new record to an accepted one:
 
 * identity: the same address, DOI or fingerprint, spelling and prefixes aside, values that stand
   for "none" or for an empty text left out; an equi-join on normalised keys;
-* content: title and summary as one text, in words. Content-defined chunking ends a chunk at
+* content: title and summary as one text, in words. Equal texts meet by a hash of the whole.
+  For the rest, content-defined chunking ends a chunk at
   every word whose hash falls under a bound, so an edit only changes the chunk it is in. Accepted
   records keep their chunks in a table of chunk to record that is written once and appended to.
   The longest chunks, up to ``1 - SPARE`` of the bytes, are indexed, chunks held by very many
   accepted records last; a batch's chunks join that table, shared bytes are summed, and pairs
   that cover ``COVER`` of the longer text go to an exact comparison of their words.
 
+``Accepted`` holds history in the session; a ``Store`` keeps it in the shared folder, each table
+parted into buckets of its join key. A batch then reads only the buckets that its keys, chunks
+and pairs fall into, so the bytes of history it reads fall with the batch, and accepting a batch
+appends to the tables without reading them.
+
 Rows of the batch with equal text are one row up to the end. The list of very common chunks has
 at most ``COMMON`` entries whatever the size of history, as each holds more than that share of
-all chunks; no other thing is broadcast or collected.
+all chunks; besides it only the numbers of buckets are collected.
 
-Defined results: null or blank keys identify nothing; a record without a summary has no
-content to share; a text shorter than ``SHORT`` words neither; repeated rows of a batch each
+Defined results: null or blank keys identify nothing; a record without a word in its summary has no
+content to share; a summary shorter than ``SHORT`` words only with an equal text; repeated rows of a batch each
 match; a pair found both ways comes out once; empty tables give an empty one.
 """
 
@@ -24,6 +30,7 @@ from __future__ import annotations
 
 import html
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -36,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.runtime import cut_lineage, require, table
+from tidemark.runtime import cut_lineage, require, shared_dir, table
 
 #: Mean bytes of a chunk; share of a text's bytes not indexed; common chunks at most; shared bytes of the longer text for a comparison.
 MEAN, SPARE, COMMON, COVER = 28, 0.35, 4_000, 0.12
@@ -87,7 +94,7 @@ _CHUNK = T.ArrayType(T.StructType([T.StructField("hash", T.LongType()), T.Struct
 
 
 def _chunked(df: DataFrame, common: dict[int, int] | None) -> DataFrame:
-    """id, t1, t2 (hash of the words), total, chunks of rows id, title, summary with enough text; all chunks, or the indexed ones."""
+    """id, t1, t2 (hash of the words), total, chunks of rows id, title, summary with a summary; all chunks, or the indexed ones, none of short summaries."""
     schema = T.StructType([df.schema["id"], *(T.StructField(n, T.LongType()) for n in ("t1", "t2")), T.StructField("total", T.IntegerType()), T.StructField("chunks", _CHUNK)])
     kind = pa.list_(pa.struct([("hash", pa.int64()), ("size", pa.int32())]))
 
@@ -96,11 +103,11 @@ def _chunked(df: DataFrame, common: dict[int, int] | None) -> DataFrame:
             keep, t1, t2, total, found = [], [], [], [], []
             for k, (title, summary) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
                 body = words(summary)
-                if len(body) < SHORT:
+                if not body:
                     continue
                 text = words(title) + body
                 whole = xxhash.xxh128_intdigest(" ".join(text))
-                c = chunks(text)
+                c = chunks(text) if len(body) >= SHORT else []
                 keep.append(k)
                 t1.append((whole >> 64) - (1 << 63))
                 t2.append((whole & ((1 << 64) - 1)) - (1 << 63))
@@ -111,44 +118,92 @@ def _chunked(df: DataFrame, common: dict[int, int] | None) -> DataFrame:
     return df.select("id", "title", "summary").mapInArrow(run, schema)
 
 
-class ChunkIndex:
-    """The chunk-to-record table of accepted records: ``rows`` has id, total, chunks (all, in order of the text)."""
+def _common(chunked: DataFrame) -> dict[int, int]:
+    """Chunks held by so many records that each has more than 1 / COMMON of all chunks: fewer than COMMON."""
+    count = chunked.select(F.explode("chunks.hash").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    total = chunked.agg(F.sum(F.size("chunks"))).first()[0] or 0
+    return {r["hash"]: r["n"] for r in count.where(F.col("n") > max(total / COMMON, 5)).limit(COMMON).collect()}
 
-    def __init__(self, rows: DataFrame) -> None:
-        self.rows = rows
 
-    @classmethod
-    def build(cls, accepted: DataFrame) -> ChunkIndex:
-        """From id, title, summary; written once to the shared folder."""
-        return cls(cut_lineage(_chunked(accepted, None).select("id", "total", "chunks")))
+def _tables(accepted: DataFrame, chunked: DataFrame, common: dict[int, int]) -> dict[str, DataFrame]:
+    """The tables in which accepted records are looked up, by name; the first column or two of each are the key."""
 
-    @classmethod
-    def read(cls, spark: SparkSession, path: str) -> ChunkIndex:
-        return cls(spark.read.parquet(path))
+    @F.pandas_udf(_CHUNK)
+    def pick(found: pd.Series) -> pd.Series:
+        return pd.Series([[{"hash": h, "size": n} for h, n in indexed([(c["hash"], c["size"]) for c in f], common)] for f in found])
+
+    posted = chunked.where(F.size("chunks") > 0).select("id", "total", F.explode(pick("chunks")).alias("c"))
+    return {
+        "postings": posted.select("c.hash", "c.size", F.col("id").alias("kept_id"), F.col("total").alias("kept_total")),
+        "whole": chunked.select("t1", "t2", F.col("id").alias("kept_id")),
+        "keys": identity_keys(accepted).select("kind", "key", F.col("id").alias("kept_id")),
+        "texts": accepted.select(F.col("id").alias("kept_id"), F.col("title").alias("a_title"), F.col("summary").alias("a_summary")),
+    }
+
+
+#: The columns of the stored tables, and those that a table is looked up and parted by.
+_SCHEMAS = {
+    "postings": "hash long, size int, kept_id {}, kept_total int, bucket int", "whole": "t1 long, t2 long, kept_id {}, bucket int", "keys": "kind string, key string, kept_id {}, bucket int",
+    "texts": "kept_id {}, a_title string, a_summary string, bucket int",
+}
+_BY = {"postings": ("hash",), "whole": ("t1",), "keys": ("key",), "texts": ("kept_id",)}
+
+
+class Accepted:
+    """Accepted records (id, url, doi, fingerprint, title, summary) of one session, and the common chunks among theirs."""
+
+    def __init__(self, accepted: DataFrame) -> None:
+        chunked = cut_lineage(_chunked(accepted, None))
+        self.common = _common(chunked)
+        self._tables = _tables(accepted, chunked, self.common)
+
+    def near(self, name: str, probes: DataFrame) -> DataFrame:
+        """A table, or of a stored one what may meet ``probes``."""
+        return self._tables[name]
+
+
+class Store:
+    """Accepted records in ``path`` of the shared folder, each table parted into ``buckets``."""
 
-    def write(self, path: str) -> None:
-        self.rows.write.mode("error").parquet(path)
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 256) -> None:
+        self.spark, self.path, self.buckets, self.read = spark, path, buckets, Counter()
+        self.common: dict[int, int] = {}
 
-    @staticmethod
-    def append(path: str, accepted: DataFrame) -> None:
-        """Add newly accepted records (id, title, summary) to a table written before; nothing written is read again."""
-        _chunked(accepted, None).select("id", "total", "chunks").write.mode("append").parquet(path)
+    @classmethod
+    def create(cls, path: str, accepted: DataFrame, buckets: int = 256) -> Store:
+        """Writes the tables; the common chunks are counted once, and those that come later are indexed by the same list."""
+        store = cls(accepted.sparkSession, path, buckets)
+        chunked = cut_lineage(_chunked(accepted, None))
+        store.common = _common(chunked)
+        store.spark.createDataFrame([(h, n) for h, n in store.common.items()], "hash long, n long").coalesce(1).write.mode("error").parquet(f"{path}/common")
+        accepted.select("id").limit(0).coalesce(1).write.mode("error").parquet(f"{path}/ids")
+        store._write(_tables(accepted, chunked, store.common), "error")
+        return store
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, buckets: int = 256) -> Store:
+        store = cls(spark, path, buckets)
+        store.common = {r["hash"]: r["n"] for r in spark.read.parquet(f"{path}/common").toLocalIterator()}  # fewer than COMMON
+        return store
 
-    def common(self) -> dict[int, int]:
-        """Chunks held by so many records that each has more than 1 / COMMON of all chunks: fewer than COMMON."""
-        one = self.rows.select(F.explode("chunks.hash").alias("hash"))
-        count = one.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
-        total = self.rows.agg(F.sum(F.size("chunks"))).first()[0] or 0
-        return {r["hash"]: r["n"] for r in count.where(F.col("n") > max(total / COMMON, 5)).limit(COMMON).collect()}
+    def _bucket(self, name: str) -> Column:
+        return F.pmod(F.xxhash64(*_BY[name]), F.lit(self.buckets)).cast("int")
 
-    def postings(self, common: dict[int, int]) -> DataFrame:
-        """hash, size, id, total of the indexed chunks."""
+    def _write(self, tables: dict[str, DataFrame], mode: str) -> None:
+        for name, df in tables.items():
+            df.withColumn("bucket", self._bucket(name)).repartition("bucket").write.mode(mode).partitionBy("bucket").parquet(f"{self.path}/{name}")
 
-        @F.pandas_udf(_CHUNK)
-        def pick(found: pd.Series) -> pd.Series:
-            return pd.Series([[{"hash": h, "size": n} for h, n in indexed([(c["hash"], c["size"]) for c in f], common)] for f in found])
+    def append(self, accepted: DataFrame) -> None:
+        """Adds newly accepted records; nothing written is read again."""
+        self._write(_tables(accepted, _chunked(accepted, None), self.common), "append")
 
-        return self.rows.select("id", "total", F.explode(pick("chunks")).alias("c")).select("c.hash", "c.size", F.col("id").alias("kept_id"), F.col("total").alias("kept_total"))
+    def near(self, name: str, probes: DataFrame) -> DataFrame:
+        """The rows of the buckets that the keys of ``probes`` fall into: at most ``buckets`` numbers are collected."""
+        need = sorted(r[0] for r in probes.select(self._bucket(name).alias("b")).distinct().collect())
+        self.read[name] += len(need)
+        kind = self.spark.read.parquet(f"{self.path}/ids").schema["id"].dataType.simpleString()
+        df = self.spark.read.schema(_SCHEMAS[name].format(kind)).parquet(f"{self.path}/{name}")
+        return df.where(F.col("bucket").isin(need)).drop("bucket")
 
 
 def same_text(a: list[str], b: list[str]) -> bool:
@@ -161,28 +216,27 @@ def same_text(a: list[str], b: list[str]) -> bool:
     return SequenceMatcher(None, a, b, autojunk=False).ratio() >= SAME
 
 
-def content_pairs(batch: DataFrame, accepted: DataFrame, index: ChunkIndex | None = None) -> DataFrame:
-    """kept_id, id: rows of ``batch`` whose text is that of an accepted record but for about one word in ten. Both have id, title, summary."""
-    index = index or ChunkIndex.build(accepted)
-    common = index.common()
-    mine = cut_lineage(_chunked(batch, common))
+def content_pairs(batch: DataFrame, accepted: Accepted | Store) -> DataFrame:
+    """kept_id, id: rows of ``batch`` (id, title, summary) whose text is that of an accepted record but for about one word in ten."""
+    mine = cut_lineage(_chunked(batch, accepted.common))
     # rows of equal text are one up to the end: the first stands for all, chosen map-side first
-    one = mine.groupBy("t1", "t2").agg(F.min_by(F.struct("id", "total", "chunks"), "id").alias("r")).select("r.*")
+    one = mine.where(F.size("chunks") > 0).groupBy("t1", "t2").agg(F.min_by(F.struct("id", "total", "chunks"), "id").alias("r")).select("r.*")
     probes = one.select("id", "total", F.explode("chunks").alias("c")).select("c.hash", "c.size", "id", "total")
     near = F.col("total").between(F.col("kept_total") * LENGTHS, F.col("kept_total") / LENGTHS)
-    shared = probes.join(index.postings(common), ["hash", "size"]).where(near)
+    shared = probes.join(accepted.near("postings", probes), ["hash", "size"]).where(near)
     shared = shared.groupBy("kept_id", "id").agg(F.sum("size").alias("shared"), F.first(F.greatest("total", "kept_total")).alias("longer"))
-    pairs = shared.where(F.col("shared") >= F.col("longer") * COVER).select("kept_id", "id")
+    pairs = cut_lineage(shared.where(F.col("shared") >= F.col("longer") * COVER).select("kept_id", "id"))
 
     @F.pandas_udf(T.BooleanType())
     def compare(t1: pd.Series, s1: pd.Series, t2: pd.Series, s2: pd.Series) -> pd.Series:
         return pd.Series([same_text(words(a) + words(b), words(c) + words(d)) for a, b, c, d in zip(t1, s1, t2, s2, strict=True)], dtype=bool)
 
-    texts = lambda df, i, n: df.select(F.col("id").alias(i), F.col("title").alias(f"{n}_title"), F.col("summary").alias(f"{n}_summary"))
-    full = cut_lineage(pairs).join(texts(accepted, "kept_id", "a"), "kept_id").join(texts(batch, "id", "b"), "id")
+    texts = batch.select("id", F.col("title").alias("b_title"), F.col("summary").alias("b_summary"))
+    full = pairs.join(accepted.near("texts", pairs), "kept_id").join(texts, "id")
     sure = full.where(compare("a_title", "a_summary", "b_title", "b_summary")).select("kept_id", "id")
-    group = mine.select(F.col("id"), "t1", "t2").join(sure, "id").select("kept_id", "t1", "t2")
-    return group.join(mine.select("id", "t1", "t2"), ["t1", "t2"]).select("kept_id", "id")
+    hashes = mine.select("id", "t1", "t2")
+    by_text = hashes.join(sure, "id").select("kept_id", "t1", "t2").unionByName(accepted.near("whole", hashes)).distinct()
+    return by_text.join(hashes, ["t1", "t2"]).select("kept_id", "id")
 
 
 _KEEP = r"[^\p{L}\p{N}]+"
@@ -215,23 +269,32 @@ def fingerprint_key(c: Column | str) -> Column:
     return F.when(key.rlike("^[0-9a-f]{12,}$") & ~key.rlike("^(?:" + "|".join(EMPTY) + ")"), key)
 
 
-def identity_pairs(batch: DataFrame, accepted: DataFrame) -> DataFrame:
-    """kept_id, id: rows that share an address, DOI or fingerprint. Both have id, url, doi, fingerprint."""
-    keys = lambda df: F.explode(F.array(*(F.struct(F.lit(n).alias("kind"), k.alias("key")) for n, k in (("u", url_key("url")), ("d", doi_key("doi")), ("f", fingerprint_key("fingerprint"))))))
-    mine = batch.select("id", keys(batch).alias("k")).select("id", "k.*").where("key is not null")
-    theirs = accepted.select(F.col("id").alias("kept_id"), keys(accepted).alias("k")).select("kept_id", "k.*").where("key is not null")
-    return mine.join(theirs, ["kind", "key"]).select("kept_id", "id")
+def identity_keys(df: DataFrame) -> DataFrame:
+    """id, kind, key of each address, DOI and fingerprint that identifies something."""
+    keys = F.array(*(F.struct(F.lit(n).alias("kind"), k.alias("key")) for n, k in (("u", url_key("url")), ("d", doi_key("doi")), ("f", fingerprint_key("fingerprint")))))
+    return df.select("id", F.explode(keys).alias("k")).select("id", "k.*").where("key is not null")
+
+
+def identity_pairs(batch: DataFrame, accepted: Accepted | Store) -> DataFrame:
+    """kept_id, id: rows that share an address, DOI or fingerprint. ``batch`` has id, url, doi, fingerprint. Keys of very many rows are split by the adaptive join."""
+    mine = identity_keys(batch)
+    return mine.join(accepted.near("keys", mine), ["kind", "key"]).select("kept_id", "id")
+
 
+COLUMNS = ("id", "url", "doi", "fingerprint", "title", "summary")
 
-def duplicates(batch: DataFrame, accepted: DataFrame, index: ChunkIndex | None = None) -> DataFrame:
+
+def duplicates(batch: DataFrame, accepted: DataFrame | Accepted | Store) -> DataFrame:
     """kept_id, id: each row of ``batch`` with each accepted record it repeats. Both have id, url, doi, fingerprint, title, summary."""
-    for df in (batch, accepted):
-        require(df, "id", "url", "doi", "fingerprint", "title", "summary")
-    return identity_pairs(batch, accepted).unionByName(content_pairs(batch, accepted, index)).distinct()
+    require(batch, *COLUMNS)
+    if isinstance(accepted, DataFrame):
+        require(accepted, *COLUMNS)
+        accepted = Accepted(accepted)
+    return identity_pairs(batch, accepted).unionByName(content_pairs(batch, accepted)).distinct()
 
 
-def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "candidates").selectExpr("candidate_id id", "url", "doi", "content_fingerprint fingerprint", "title", "summary_hint summary")
+def _candidates(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    return (rows or table(spark, sf_dir, "candidates")).selectExpr("candidate_id id", "url", "doi", "content_fingerprint fingerprint", "title", "summary_hint summary")
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,5 +312,28 @@ def p6_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(known, "candidate_id", "left").groupBy("run_id").agg(F.count(F.lit(1)).alias("n_candidates"), F.count_if(F.col("known").isNull()).alias("n_fresh"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_fresh": p6_fresh}
+#: Batches that ``p6_batches`` makes of the runs.
+BATCHES = 4
+
+
+def p6_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs in ``BATCHES`` batches, each held against history and all that was accepted from the batches before.
+
+    A candidate that repeats nothing accepted is accepted itself; ids of candidates and history don't overlap.
+    """
+    path = f"{shared_dir(spark).rstrip('/')}/history-{uuid.uuid4().hex}"
+    store, out = Store.create(path, _history(spark, sf_dir), 64), []
+    rows = table(spark, sf_dir, "candidates")
+    for k in range(BATCHES):
+        batch = _candidates(spark, sf_dir, rows.where(F.pmod(F.xxhash64("run_id"), F.lit(BATCHES)) == k) if k else rows.where((F.pmod(F.xxhash64("run_id"), F.lit(BATCHES)) == 0) | F.col("run_id").isNull()))
+        known = cut_lineage(duplicates(batch, store).select("id").distinct())
+        fresh = batch.join(known, "id", "left_anti")
+        if k < BATCHES - 1:
+            store.append(fresh)
+        n = batch.count(), known.count()
+        out.append((k, n[0], n[1], n[0] - n[1]))
+    return spark.createDataFrame(out, "batch int, n_candidates long, n_known long, n_accepted long")
+
+
+QUERIES = {"p6_found": p6_found, "p6_fresh": p6_fresh, "p6_batches": p6_batches}
 SQL: dict[str, str] = {}

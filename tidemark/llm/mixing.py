@@ -57,7 +57,8 @@ def _scale(cells: list[Cell], weight: dict[Cell, float], most: dict[Cell, float]
         for c in over:
             weight[c] = most[c]
             left -= most[c]
-        free = [c for c in free if c not in set(over)]
+        full = set(over)
+        free = [c for c in free if c not in full]
         if left <= 0:
             for c in free:
                 weight[c] = 0.0
