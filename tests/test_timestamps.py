@@ -50,6 +50,21 @@ def test_one_parser_for_a_mask():
     assert parser(mask("nothing here")) is None
 
 
+def test_values_of_any_length():
+    assert one(f"2024-03-05T10:00:00.{'1' * 110}Z") == "2024-03-05T10:00:00Z"
+    assert one(" " * 500 + "5 March 2024" + " " * 500) == "2024-03-05T00:00:00Z"
+    assert [one(v) for v in ("x" * 500_000, "a/" * 50_000, "9" * 5000, "2024-01-01 Europe/Paris Europe/Paris")] == [None] * 4
+
+
+def test_equal_values_are_converted_once(monkeypatch):
+    from tidemark.functions import timestamps
+
+    seen, convert = [], timestamps._convert
+    monkeypatch.setattr(timestamps, "_convert", lambda v, *a: seen.append(len(v)) or convert(v, *a))
+    out = normalise(pd.Series(["2024-01-02", None, "2024-01-02", "2024-01-03"] * 50), pd.Series(["UTC", None, None, "UTC"] * 50), pd.Series([False, None, None, False] * 50))
+    assert seen == [2] and out.tolist() == ["2024-01-02T00:00:00Z", None, "2024-01-02T00:00:00Z", "2024-01-03T00:00:00Z"] * 50
+
+
 def test_table_with_nulls_ties_and_clashing_names(spark):
     rows = [(1, "2024-01-02", None, "UTC", False, "x"), (1, "2024-01-02", None, "UTC", False, "x"), (2, None, None, None, None, None), (3, "x" * 5000, "3 Jan 2024", "No/Zone", True, "y")]
     df = spark.createDataFrame(rows, "id long, a string, b string, zone string, mf boolean, v string")

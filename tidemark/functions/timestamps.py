@@ -6,8 +6,8 @@ values that have it: a list of fields by position. All values of a mask are then
 and converted as arrays; local times go through transition tables of their zones, taken from
 the installed IANA data, whose version :func:`zone_version` names.
 
-Defined results: null, blank, partial (month, quarter or year alone), impossible, unknown and
-very long values have no instant; a date without a time is midnight; a fraction of a second is dropped;
+Defined results: null, blank, partial (month, quarter or year alone), impossible and unknown
+values have no instant, whatever their length; a date without a time is midnight; a fraction of a second is dropped;
 without a zone the row's home zone holds; a local time skipped by a clock change takes the
 offset before the change, a repeated one is its first occurrence; zone letters are fixed
 offsets; a bare number of eight digits is a date, of ten or more an epoch in seconds, from
@@ -31,8 +31,8 @@ MONTHS |= {m[:3]: i for m, i in MONTHS.items()} | {"sept": 9}
 DAYS = {d[:n] for d in ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday") for n in (3, 4, 5, 9)}
 LETTERS = {"z": 0, "utc": 0, "gmt": 0, "ut": 0, "est": -300, "edt": -240, "cet": 60, "cest": 120}
 
-#: A longer value is no date.
-LONGEST = 120
+#: Masks of longer values aren't kept, so that the caches stay small; they are read like others.
+KEPT = 120
 ZONE = re.compile(r"\[?[A-Za-z]+/[A-Za-z_+\-0-9]+(?:/[A-Za-z_]+)?\]?")
 WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
 BLANK = re.compile(r"[\s\u200b\u200c\u200d\ufeff\u00ad]+", re.UNICODE)
@@ -107,15 +107,33 @@ def _rough(shape: str, words: tuple[str, ...]) -> str:
 _SHAPE = str.maketrans({c: "9" for c in "0123456789"})
 
 
-def mask(value: str) -> str:
-    """The character-class mask of one trimmed value."""
-    at = ZONE.search(value)
-    if at and "/" in at.group() and not value[: at.start()].strip().isalpha():
-        return mask(value[: at.start()]) + "R" * len(at.group()) + ("" if at.end() == len(value) else mask(value[at.end() :]))
+def _region(value: str) -> re.Match | None:
+    """The name of a region in a value, found from its slash, so that long runs of letters are passed once."""
+    slash = value.find("/")
+    while slash != -1:
+        start = slash
+        while start and value[start - 1].isascii() and value[start - 1].isalpha():
+            start -= 1
+        found = ZONE.match(value, start - 1 if start and value[start - 1] == "[" else start)
+        if found:
+            return found
+        slash = value.find("/", slash + 1)
+    return None
+
+
+def _plain(value: str) -> str:
     words = tuple(WORD.findall(value))
     shaped = WORD.sub(lambda m: "A" * len(m.group()), value.translate(_SHAPE))
     # adjoining classes, as in 99T99 or 9:99PM, stand apart already; months keep their length
-    return _rough(shaped, words)
+    return (_rough if len(value) <= KEPT else _rough.__wrapped__)(shaped, words)
+
+
+def mask(value: str) -> str:
+    """The character-class mask of one trimmed value; no date has a second region, so only the first is looked for."""
+    at = _region(value)
+    if at and not value[: at.start()].strip().isalpha():
+        return _plain(value[: at.start()]) + "R" * len(at.group()) + _plain(value[at.end() :])
+    return _plain(value)
 
 
 @lru_cache(1 << 14)
@@ -187,13 +205,15 @@ def _convert(values: np.ndarray, where: dict[str, tuple[int, int]], zones: np.nd
 
 
 def normalise(values: pd.Series, zones: pd.Series, month_first: pd.Series) -> pd.Series:
-    """``YYYY-MM-DDTHH:MM:SSZ`` of each value, or None."""
-    out = np.full(len(values), None, dtype=object)
-    # equal values of equal zone and order are converted once
-    frame = pd.DataFrame({"v": [BLANK.sub(" ", v).strip() if isinstance(v, str) else "" for v in values], "z": zones.fillna("UTC").to_numpy(), "f": month_first.fillna(False).astype(bool).to_numpy()})
-    frame["mask"] = [mask(v) if 0 < len(v) <= LONGEST else "" for v in frame["v"]]
+    """``YYYY-MM-DDTHH:MM:SSZ`` of each value, or None. Equal values of equal zone and order are converted once."""
+    whole = pd.DataFrame({"v": values.where(values.notna(), "").to_numpy(object), "z": zones.where(zones.notna(), "UTC").to_numpy(object), "f": (month_first == True).to_numpy(bool)})  # noqa: E712
+    code = whole.groupby(["v", "z", "f"], sort=False).ngroup().to_numpy()
+    frame = whole.iloc[np.unique(code, return_index=True)[1]].reset_index(drop=True)
+    frame["v"] = [BLANK.sub(" ", v).strip() for v in frame["v"]]
+    frame["mask"] = [mask(v) if v else "" for v in frame["v"]]
+    out = np.full(len(frame), None, dtype=object)
     for shape, at in frame.groupby("mask", sort=False).indices.items():
-        where = parser(shape) if shape else None
+        where = (parser if len(shape) <= KEPT else parser.__wrapped__)(shape) if shape else None
         if where is None:
             continue
         part = frame.iloc[at]
@@ -201,7 +221,7 @@ def normalise(values: pd.Series, zones: pd.Series, month_first: pd.Series) -> pd
         ok &= (sec >= -62135596800) & (sec < 253402300800)
         text = np.datetime_as_string(np.where(ok, sec, 0).astype("datetime64[s]"))
         out[at[ok]] = [t + "Z" for t in text[ok]]
-    return pd.Series(out, index=values.index)
+    return pd.Series(out[code] if len(frame) else out, index=values.index)
 
 
 def utc_text(value: Column | str, zone: Column | str, month_first: Column | str) -> Column:
@@ -215,9 +235,9 @@ def utc_text(value: Column | str, zone: Column | str, month_first: Column | str)
 
 
 def with_utc(df: DataFrame, columns: list[str], zone: str, month_first: str) -> DataFrame:
-    """One row for each value of ``columns``: the other columns, field_name, raw, utc_text; one Python pass, no shuffle."""
+    """One row for each value of ``columns``: the other columns, field_name, raw, utc_text; one Python pass, no shuffle. The version of the zone data is in the column's metadata."""
     rest = [c for c in df.columns if c not in columns]
     fields = F.explode(F.array(*(F.struct(F.lit(c).alias("field_name"), F.col(c).alias("raw")) for c in columns))).alias("_f")
-    return df.select(*rest, fields).select(*rest, "_f.*").withColumn("utc_text", utc_text("raw", zone, month_first))
+    return df.select(*rest, fields).select(*rest, "_f.*").withColumn("utc_text", utc_text("raw", zone, month_first)).withMetadata("utc_text", {"zone_data": zone_version()})
 
 
