@@ -521,8 +521,10 @@ def test_pieces_cover_and_overlap(spark):
         for a, b in zip(parts, parts[1:]):
             assert 12 <= a.from_token + a.n_tokens - b.from_token <= 16 and b.from_token > a.from_token
         for p in parts:
+            assert p.n_encoded == len(tokens.encode(p.piece, path))
             assert p.n_tokens <= 128 and p.piece.encode() == tokens.decode(ids[p.from_token : p.from_token + p.n_tokens], path)
     assert all(p.piece.rstrip()[-1] == "." for p in got[len(texts) - 1])
+    assert max(parts[0].n_tokens for parts in got.values()) > 128 - 16
     big = {r.doc_id for r in splitting.oversized(df, limit=128).collect()}
     assert big == {i for i, t in enumerate(texts) if len(tokens.encode(t, path)) > 128}
     assert splitting.split_items(df.limit(0)).count() == 0

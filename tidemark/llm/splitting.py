@@ -96,7 +96,7 @@ def _encoded(df: DataFrame, ident: str, text: str, limit: int, path: str) -> Dat
 
 
 def _decoded(df: DataFrame, path: str) -> DataFrame:
-    schema = T.StructType([f for f in df.schema.fields if f.name != "ids"] + [T.StructField("n_tokens", T.IntegerType()), T.StructField("piece", T.StringType())])
+    schema = T.StructType([f for f in df.schema.fields if f.name != "ids"] + [T.StructField("n_tokens", T.IntegerType()), T.StructField("piece", T.StringType()), T.StructField("n_encoded", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(path)
@@ -104,7 +104,7 @@ def _decoded(df: DataFrame, path: str) -> DataFrame:
             ids = b.column("ids").to_pylist()
             rest = [c for n, c in zip(b.schema.names, b.columns, strict=True) if n != "ids"]
             texts = [enc.decode_bytes(x).decode("utf-8", "replace") for x in ids]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array([len(x) for x in ids], pa.int32()), pa.array(texts, pa.string())], names=[f.name for f in schema.fields])
+            yield pa.RecordBatch.from_arrays([*rest, pa.array([len(x) for x in ids], pa.int32()), pa.array(texts, pa.string()), pa.array([len(encode(t, path)) for t in texts], pa.int32())], names=[f.name for f in schema.fields])
 
     return df.mapInArrow(run, schema)
 
@@ -113,7 +113,10 @@ def piece_spans(df: DataFrame, ident: str, text: str, limit: int, overlap: int,
     """ident, piece_no, from_token, ids of every piece."""
     coded = _encoded(df, ident, text, limit if oversized_only else 0, path)
     step = limit - overlap
-    eaten = F.when(F.length("marks") <= limit, F.array("marks")).otherwise(F.regexp_extract_all("marks", F.lit(boundary_pattern(step)), F.lit(0)))
+    # the first piece has no overlap before it and may be as long as the limit
+    head = F.regexp_extract("marks", "^" + boundary_pattern(limit), 0)
+    rest = F.substring("marks", F.length(head) + 1, F.length("marks"))
+    eaten = F.when(F.length("marks") <= limit, F.array("marks")).otherwise(F.concat(F.array(head), F.regexp_extract_all(rest, F.lit(boundary_pattern(step)), F.lit(0))))
     # ends of the pieces as running sums of the lengths eaten
     ends = F.aggregate("eaten", F.array().cast("array<int>"), lambda acc, m: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + F.length(m))))
     begins = F.transform("ends", lambda e, i: F.when(i == 0, F.lit(0)).otherwise(_whole(F.col("marks"), F.get("ends", i - 1), overlap)))
@@ -123,8 +126,9 @@ def piece_spans(df: DataFrame, ident: str, text: str, limit: int, overlap: int,
 
 
 def split_items(df: DataFrame, ident: str = "doc_id", text: str = "text", limit: int = LIMIT, overlap: int = OVERLAP, oversized_only: bool = False, path: str | None = None) -> DataFrame:
-    """ident, piece_no (from 1), from_token, n_tokens, piece of every item; no shuffle.
+    """ident, piece_no (from 1), from_token, n_tokens, piece, n_encoded of every item; no shuffle.
 
+    ``n_tokens`` counts the item's own ids in the piece, ``n_encoded`` those of the piece encoded by itself, which may differ at its ends.
     ``from_token`` counts from 0; a piece after the first begins ``overlap`` tokens before the
     end of the one before it.
     """
