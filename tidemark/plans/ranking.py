@@ -113,7 +113,7 @@ def w_lastn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "history").select("history_id", F.array_join(ranking.last_n(F.col("published_versions"), 2), " ").alias("latest"))
 
 
-def _sql_assess(lex: Lexicon) -> str:
+def sql_assess(lex: Lexicon) -> str:
     q = lambda p: p.replace("'", "''").replace(r"(?!)", "$^")
     n = " + ".join(f"regexp_matches(body, '(?i){q(p)}')::INT" for p in lex.topics.values())
     return f"""WITH {SQL_C}, b AS (SELECT candidate_id, coalesce(title, '') AS title, coalesce(title, '') || ' ' || CASE WHEN coalesce(full_text, '') <> '' THEN full_text ELSE coalesce(summary_hint, '') END AS body,
@@ -132,17 +132,17 @@ def _assess(spark: SparkSession, sf_dir: str, lex: Lexicon) -> DataFrame:
     return c.select("candidate_id", score_of(lex).alias("a")).select("candidate_id", F.col("a.n_topics"), F.col("a.substantive"), F.col("a.score"))
 
 
-@add("a_assess", _sql_assess(FITTED))
+@add("a_assess", sql_assess(FITTED))
 def a_assess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assess(spark, sf_dir, FITTED)
 
 
-@add("a_assess_default", _sql_assess(DEFAULT))
+@add("a_assess_default", sql_assess(DEFAULT))
 def a_assess_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assess(spark, sf_dir, DEFAULT)
 
 
-@add("p_assess", _sql_assess(FITTED).replace("    SELECT candidate_id, n AS n_topics", "    SELECT candidate_id, score FROM (SELECT candidate_id, n AS n_topics") + ") WHERE substantive AND score >= 4")
+@add("p_assess", sql_assess(FITTED).replace("    SELECT candidate_id, n AS n_topics", "    SELECT candidate_id, score FROM (SELECT candidate_id, n AS n_topics") + ") WHERE substantive AND score >= 4")
 def p_assess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assess(spark, sf_dir, FITTED).where("substantive and score >= 4").select("candidate_id", "score")
 

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text, urls
 from tidemark.functions.dates import iso_prefix
-from tidemark.operators import crawl, dedup, events, joins, state
+from tidemark.operators import crawl, dedup, events, joins, state, verdict
 from tidemark.operators.position import with_position
 from tidemark.operators.ranking import nth
 from tidemark.plans.base import FITTED, blank, candidates
 from tidemark.plans.common import Registry, sql_fingerprint, sql_iso
+from tidemark.plans.filters import SQL as FILTERS
 from tidemark.plans.filters import j_prior, p_evid, p_temporal
-from tidemark.plans.ranking import score_of
+from tidemark.plans.ranking import score_of, sql_assess
 from tidemark.runtime import cut_lineage, table
 
 add = Registry()
@@ -222,6 +223,42 @@ def _eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_position(pool, [F.desc("score"), F.desc("primary"), F.asc("id")], "place").drop("score", "primary")
 
 
+#: Rules whose SQL differs between the two dialects.
+SQL_RULES = {"outside_rolling_publication_window": "not upcoming and dated < run_date - {window}"}
+
+
+def _sql_evaluate() -> str:
+    rules = lambda k: " ".join(f"WHEN coalesce({SQL_RULES.get(r[1], r[2]).format(threshold=4, window=21)}, false) THEN '{r[k]}'" for r in verdict.RULES)
+    return f"""WITH a AS ({sql_assess(FITTED)}), c AS (SELECT *, discovered_date AS run_date, {sql_iso('published_date')} AS published, {sql_iso('modified_date')} AS modified, {sql_iso('event_date')} AS event, development_stage AS stage,
+      coalesce(full_text, '') <> '' AS has_full_text, coalesce(summary_hint, '') <> '' AS has_summary FROM candidates),
+    h AS (SELECT url, arg_min(fingerprint, history_id) AS fingerprint, min(published_date) AS page_date FROM history WHERE url IS NOT NULL GROUP BY 1), v AS (SELECT DISTINCT url, unnest(published_versions) AS f FROM history),
+    p AS ({FILTERS['j_prior']}), s AS (SELECT url FROM digest_items UNION SELECT url FROM news_briefs),
+    x AS (SELECT c.*, a.substantive, a.score, h.page_date, p.candidate_id IS NOT NULL AS prior_event, s.url IS NOT NULL AS sent, v.url IS NOT NULL AS known_version,
+      coalesce(h.url IS NOT NULL AND NOT coalesce(h.fingerprint = c.content_fingerprint, false) AND stage IN ('outcome', 'subsequent_development'), false) AS changed,
+      coalesce(stage = 'scheduled' AND event > run_date AND event <= run_date + 14, false) AS upcoming
+      FROM c JOIN a USING (candidate_id) LEFT JOIN h ON h.url = c.url LEFT JOIN v ON v.url = c.url AND v.f = c.content_fingerprint LEFT JOIN p ON p.candidate_id = c.candidate_id LEFT JOIN s ON s.url = c.url),
+    y AS (SELECT *, CASE WHEN changed THEN coalesce(modified, published) ELSE published END AS dated FROM x)
+    SELECT candidate_id, CASE {rules(0)} ELSE 'selected' END AS decision, CASE {rules(1)} ELSE 'eligible' END AS reason FROM y"""
+
+
+@add("x_evaluate", _sql_evaluate())
+def x_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate's decision and reason: relevance, dates, evidence, then what was published before."""
+    c = candidates(spark, sf_dir, "candidate_id", "url", "title", "published_date", "event_date", "modified_date", "discovered_date", "development_stage", "content_fingerprint", "summary_hint", "full_text", "reliability", "text_source")
+    c = c.withColumns({
+        "a": score_of(FITTED), "modified": iso_prefix("modified_date"), "event": iso_prefix("event_date"), "has_full_text": blank("full_text") != "", "has_summary": blank("summary_hint") != "",
+    }).select("candidate_id", "url", "content_fingerprint", "a.substantive", "a.score", F.col("discovered_date").alias("run_date"), "published", "modified", "event", F.col("development_stage").alias("stage"), "reliability", "text_source", "has_full_text", "has_summary")
+    history = table(spark, sf_dir, "history").where("url is not null")
+    pages = history.groupBy("url").agg(F.min_by("fingerprint", "history_id").alias("fingerprint"), F.min("published_date").alias("page_date"), F.lit(True).alias("has_page"))
+    versions = history.select("url", F.explode("published_versions").alias("content_fingerprint")).distinct().withColumn("known_version", F.lit(True))
+    sent = table(spark, sf_dir, "digest_items").select("url").union(table(spark, sf_dir, "news_briefs").select("url")).distinct().withColumn("sent", F.lit(True))
+    prior = j_prior(spark, sf_dir).withColumn("prior_event", F.lit(True))
+    full = c.join(pages, "url", "left").join(versions, ["url", "content_fingerprint"], "left").join(sent, "url", "left").join(prior, "candidate_id", "left")
+    full = full.withColumn("same_content", F.coalesce(F.col("fingerprint") == F.col("content_fingerprint"), F.lit(False)))
+    full = full.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("has_page", "known_version", "sent", "prior_event")})
+    return verdict.decide(full).select("candidate_id", "decision", "reason")
+
+
 @add("o_event")
 def o_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports of one event consolidated, of all eligible candidates, the best assessed first."""
