@@ -486,7 +486,11 @@ def test_mix_reaches_its_shares(spark):
     assert len({r.doc_id for r in rows}) == len(rows) and all(r.repeats <= {"a": 3, "b": 1, "c": 1}[r.source] for r in rows) and not {9001, 9002, 9003} & {r.doc_id for r in rows}
     for r in mixing.reached(mixed, t).collect():
         assert abs(r.reached_share - r.target_share) < 0.002
-    assert sorted(map(tuple, rows)) == sorted(map(tuple, mixing.mix(d, t).collect()))
+    assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(d, t).collect()))
+    full = {(r.kind, r.value): r for r in mixing.reached_marginals(mixed, d, t).collect()}
+    assert {k for k, _ in full} == {"source", "lang", "topic"} and ("lang", None) in full and full["topic", "t"].reached_share == 1.0
+    assert all(abs(r.reached_share - r.target_share) < 0.03 for (k, _), r in full.items() if k == "lang")
+    assert all(r.missing_tokens <= 60 for (k, _), r in full.items() if k == "source")
     assert mixing.mix(d.limit(0), t).count() == 0 and mixing.mix(d, t.limit(0)).count() == 0
 
 
@@ -503,7 +507,6 @@ def test_mixing_fills_whatever_gap_a_large_document_leaves(spark, monkeypatch):
         assert 0 <= gap < min(n for i, *_, n in small if i not in used)
 
 
-
 # --- 10 --------------------------------------------------------------------------------------
 
 

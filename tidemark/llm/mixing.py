@@ -136,7 +136,7 @@ def _fillers(uses: DataFrame, cut: DataFrame, ident: str) -> DataFrame:
 
 
 def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, languages: dict[str | None, float] | None = None, topics: dict[str | None, float] | None = None, seed: int = 17) -> DataFrame:
-    """doc_id, source, n_tokens, repeats of each document used. ``docs`` has doc_id, source, lang, topic, n_tokens; ``targets`` source, target_share, max_repeats."""
+    """doc_id, source, lang, topic, n_tokens, repeats of each document used. ``docs`` has doc_id, source, lang, topic, n_tokens; ``targets`` source, target_share, max_repeats."""
     require(docs, "doc_id", "source", "lang", "topic", "n_tokens")
     require(targets, "source", "target_share", "max_repeats")
     spark = docs.sparkSession
@@ -146,7 +146,7 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     held = docs.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("n")).limit(MOST_CELLS + 1).collect()
     if len(held) > MOST_CELLS or len(asked) > MOST_CELLS:
         raise ValueError(f"more than {MOST_CELLS} cells or targets: languages and topics must be codes, not free text")
-    out = "doc_id {}, source string, n_tokens long, repeats int".format(docs.schema["doc_id"].dataType.simpleString())
+    out = "doc_id {}, source string, lang string, topic string, n_tokens long, repeats int".format(docs.schema["doc_id"].dataType.simpleString())
     if not held:
         return spark.createDataFrame([], out)
     tokens = {(r["source"], r["lang"], r["topic"]): float(r["n"]) for r in held}
@@ -166,7 +166,7 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     weight = rake(tokens, most, marginals)
     cells = spark.createDataFrame([(*c, weight[c] / n) for c, n in tokens.items()], "source string, lang string, topic string, uses double")
     uses = docs.alias("d").join(F.broadcast(cells).alias("c"), F.expr("d.source = c.source and d.lang <=> c.lang and d.topic <=> c.topic"))  # at most MOST_CELLS rows, checked above
-    uses = uses.select("d.doc_id", "d.source", "d.n_tokens", F.floor(F.col("uses") + 1e-9).cast("int").alias("base"), "uses")
+    uses = uses.select("d.doc_id", "d.source", "d.lang", "d.topic", "d.n_tokens", F.floor(F.col("uses") + 1e-9).cast("int").alias("base"), "uses")
     share = F.greatest(F.col("uses") - F.col("base"), F.lit(0.0))
     # a fixed random number over the probability; 1 on the scale of r is 2 ** 34, so that r stays within its digits up to 64 times the probability
     unit = (F.xxhash64(F.lit(seed), "doc_id").bitwiseAND(F.lit((1 << 52) - 1)) + F.lit(0.5)) / F.lit(float(1 << 52))
@@ -184,30 +184,50 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     added = _fillers(uses, cut, out.split(",")[0])
     full = full.join(added.withColumn("_more", F.lit(1)), "doc_id", "left")
     more = F.when(taken, 1).otherwise(F.coalesce("_more", F.lit(0)))
-    return full.select("doc_id", "source", F.col("n_tokens"), (F.col("base") + more).cast("int").alias("repeats")).where("repeats > 0")
+    return full.select("doc_id", "source", "lang", "topic", "n_tokens", (F.col("base") + more).cast("int").alias("repeats")).where("repeats > 0")
 
 
 def reached(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """source, target_share, reached_share, tokens, documents, most_repeats of each target."""
-    got = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count(F.lit(1)).alias("documents"), F.max("repeats").alias("most_repeats"))
+    """source, target_share, reached_share, tokens, documents, most_repeats, missing_tokens of each target; what is missing is so of the tokens that the whole mix has."""
+    return _held(mixed, targets.select(F.col("source").alias("value"), "target_share"), "source").withColumnRenamed("value", "source")
+
+
+def _held(mixed: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    got = mixed.groupBy(F.col(column).alias("value")).agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count(F.lit(1)).alias("documents"), F.max("repeats").alias("most_repeats"))
     total = F.sum("tokens").over(Window.partitionBy(F.lit(1)))  # one row a target
-    full = targets.join(got, "source", "left").withColumn("all_tokens", total)
+    full = wanted.alias("w").join(got.alias("g"), F.expr("w.value <=> g.value"), "left").select("w.value", "target_share", "tokens", "documents", "most_repeats").withColumn("all_tokens", total)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return full.select("source", "target_share", F.round(zero("tokens") / F.col("all_tokens"), 6).alias("reached_share"), zero("tokens").alias("tokens"), zero("documents").alias("documents"), zero("most_repeats").alias("most_repeats"))
+    missing = F.greatest(F.ceil(F.col("target_share") * F.col("all_tokens") - zero("tokens")), F.lit(0)).cast("long")
+    return full.select(
+        "value", "target_share", F.round(zero("tokens") / F.col("all_tokens"), 6).alias("reached_share"), zero("tokens").alias("tokens"), zero("documents").alias("documents"), zero("most_repeats").alias("most_repeats"), zero(missing).alias("missing_tokens"),
+    )
+
+
+def reached_marginals(mixed: DataFrame, docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """kind (source, lang or topic), value and the columns of ``reached``; languages and topics are wanted as the sources' documents have them."""
+    parts = [_held(mixed, targets.select(F.col("source").alias("value"), "target_share"), "source").select(F.lit("source").alias("kind"), "*")]
+    held = docs.where("n_tokens > 0").join(targets.where("target_share > 0 and max_repeats > 0").select("source").distinct(), "source", "left_semi")
+    for column in ("lang", "topic"):
+        own = held.groupBy(F.col(column).alias("value")).agg(F.sum("n_tokens").alias("n"))
+        own = own.select("value", (F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1)))).alias("target_share"))  # one row a code
+        parts.append(_held(mixed, own, column).select(F.lit(column).alias("kind"), "*"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _counted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     targets = table(spark, sf_dir, "mix_targets")
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.col("layer").alias("topic"), "text").join(targets.select("source"), "source", "left_semi")
-    return mix(with_token_count(docs, keep=["doc_id", "source", "lang", "topic"]), targets), targets
+    return cut_lineage(with_token_count(docs, keep=["doc_id", "source", "lang", "topic"])), targets
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mixed(spark, sf_dir)[0]
+    return mix(*_counted(spark, sf_dir)).select("doc_id", "source", "n_tokens", "repeats")
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reached(*_mixed(spark, sf_dir))
+    """The shares of sources, languages and topics, wanted and reached, and the tokens missing."""
+    docs, targets = _counted(spark, sf_dir)
+    return reached_marginals(mix(docs, targets), docs, targets)
 
 
 QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares}
