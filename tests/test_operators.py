@@ -5,7 +5,7 @@ from difflib import SequenceMatcher
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import alias_table, name_key
-from tidemark.operators import crawl, dedup, events, joins, ranking, state
+from tidemark.operators import crawl, dedup, events, joins, ranking, state, verify
 from tidemark.operators.overlap import copies_span
 from tidemark.operators.position import with_position
 from tidemark.operators.scoring import assessment
@@ -222,3 +222,19 @@ def test_batch_models_must_answer_every_text(spark):
     assert {r.id: r.text_out for r in scorers.in_batches(df, "id", "text", lambda t: [x.upper() for x in t], 1).collect()} == {1: "A", 2: None, 3: "B"}
     with pytest.raises(Exception, match="every text"):
         scorers.in_batches(df, "id", "text", lambda t: []).collect()
+
+
+def test_citations_are_confirmed_by_every_fact(spark):
+    cited = "id int, doi string, title string, journal string, authors string, year int"
+    c = spark.createDataFrame([(1, "d1", "The Levy", "Acta", "Ostrand A., Vell B.", 2020), (2, "d2", "The Levy", "Acta", "Ostrand A.", 2020), (3, None, "T", "J", "A", 2020), (4, "gone", "T", "J", "A", 2020), (5, "d3", "T", None, "A", 2020), (6, "d4", "T", "J", "A", None)], cited)
+    w = spark.createDataFrame([("d1", "Other", "ACTA", ["Ostrand"], 2020), ("d1", "the levy!", "ACTA", ["Ostrand", "Vell"], 2020), ("d2", "The levy", "Acta", ["Ostrand", "Vell"], 2020), ("d3", "T", None, ["A"], 2020), ("d4", "T", "J", ["A"], 2020)], "doi string, title string, journal string, families array<string>, year int")
+    got = {r.id: (r.verified, r.reason) for r in verify.verify_citations(c, w).collect()}
+    assert got == {1: (True, "verified"), 2: (False, "authors"), 3: (False, "no_doi"), 4: (False, "unknown_doi"), 5: (False, "journal"), 6: (False, "year")}
+    empty = verify.verify_citations(c.limit(1), w.withColumn("families", F.array().cast("array<string>")))
+    assert empty.first().reason == "authors" and verify.verify_citations(c.limit(0), w).count() == 0
+
+
+def test_budget_keeps_requests_back(spark):
+    df = spark.createDataFrame([(k, "h" if k < 40 else "i") for k in range(80)], "id int, host string")
+    ids = lambda **k: sorted(r.id for r in crawl.within_budget(df, [F.asc("id")], 50, "host", 30, **k).collect())
+    assert ids() == [*range(30), *range(40, 60)] and ids(evidence=12) == [*range(20), *range(40, 58)] and len(ids(evidence=1000)) == 25

@@ -1,7 +1,7 @@
 from datetime import date
 
 from tidemark.functions import dates
-from tidemark.sources import archive, feeds, pages
+from tidemark.sources import archive, feeds, issue, pages
 
 PAGE = """<!doctype html><html><head><meta property="article:published_time" content="2024-05-06"><meta name="robots" content="index"><link rel="alternate" type="application/rss+xml" href="/feed">
 <script>var x = "<p>no</p>";</script><script type="application/ld+json">{"@graph": [{"@type": "Event", "name": "Summit", "startDate": "2024-06-01", "endDate": "2024-06-03"}]}</script></head>
@@ -56,3 +56,31 @@ def test_archive_replaces_days(spark, tmp_path):
     got = archive.read_archive(spark, path, "item_id long, title_en string")
     assert {(str(r.digest_date), r.title_en) for r in got.collect()} == {("2024-01-01", "c"), ("2024-01-02", "b")}
     assert archive.read_archive(spark, path, "item_id long, title_en string", latest=1).first().title_en == "b"
+
+
+def test_page_of_broken_markup():
+    got = dict(zip("url title published modified start end summary body links feeds nofollow".split(), pages.read_page("https://h.example/x", '<h1>Été &eacute; &#8364;<p>One<div>two<article>In <b>bold<script>no</script> text <a href="/a">A</a <a href=/b>B</a>'), strict=True))
+    assert got["title"].startswith("") and "In bold text" in got["body"] and "no" not in got["body"].split()
+    ld = '<script type="application/ld+json">{broken</script><script type="application/ld+json">[{"@type": ["NewsArticle"], "headline": "H", "datePublished": "2024-02-03"}, {"@type": "Event", "startDate": "2024-03-01"}]</script>'
+    row = pages.read_page("https://h.example/x", ld)
+    assert row[1] == "H" and row[2] == "2024-02-03" and row[4:6] == ("2024-03-01", "")
+
+
+def test_days_in_running_text():
+    assert pages.day_range("Held 30 Sep. - 2 Oct 2026, then 4–6 May 2026") == ("4 May 2026", "6 May 2026")
+    assert pages.day_range("room 3-5 on May 2026") == ("", "") and pages.day_range("") == ("", "")
+    assert pages.labelled_date("Publication date 3 March 2024.".split()) == "3 March 2024" and pages.labelled_date("Publication date soon".split()) == ""
+    assert pages.ideographic_date("于2024年1月2日，2025年3月4日") == "2024-01-02" and pages.ideographic_date("年月日") == ""
+    assert list(pages.nodes({"a": [{"b": 1}, {"c": {"d": 2}}]}))[1:] == [{"b": 1}, {"c": {"d": 2}}, {"d": 2}]
+
+
+def test_issue_schema(spark):
+    import pytest
+
+    good = '{"issue_title_en": "T", "title_support": [], "recent_news": [{"url": "u", "title_en": "t", "source_org": "s", "one_sentence_en": "o"}], "research_signals": [], "editorial_context_urls": []}'
+    rows = [good, good.replace('"title_en": "t", ', ""), good.replace('"research_signals": [], ', ""), "{broken", None]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(rows)], "k int, v string").select("k", issue.parse_issue("v").alias("i"))
+    got = {r.k: r.m for r in df.select("k", issue.missing_fields(df["i"], 1).alias("m")).collect()}
+    assert got[0] == [] and got[1] == ["recent_news.title_en"] and got[2] == ["research_signals"] and got[4] == ["not an issue"] and got[3]
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        spark.createDataFrame([("{broken",)], "v string").select(issue.parse_issue("v", strict=True)).collect()

@@ -33,7 +33,12 @@ def walk(seeds: DataFrame, links: DataFrame, depth: int = 2, per_page: int = 25,
     return visited, over
 
 
-def within_budget(df: DataFrame, order: list, total: int, by: str, each: int) -> DataFrame:
-    """The rows that come in: the first ``each`` of every ``by`` in order, of those the first ``total``."""
+def within_budget(df: DataFrame, order: list, total: int, by: str, each: int, evidence: int = 0) -> DataFrame:
+    """The rows that come in: the first ``each`` of every ``by`` in order, of those the first ``total``.
+
+    For ``evidence`` requests to come as many are kept back, at most half of all, and up to ten of each ``by``.
+    """
+    reserve = min(evidence, total // 2)
+    total, each = total - reserve, max(each - min(10, reserve), 0)
     n = F.row_number().over(Window.partitionBy(by).orderBy(*order))
     return df.withColumn("_n", n).where(F.col("_n") <= each).drop("_n").orderBy(*order).limit(total)

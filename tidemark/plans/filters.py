@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from tidemark.functions import text, urls
 from tidemark.functions.dates import iso_prefix
 from tidemark.functions.names import alias_table, name_key
-from tidemark.operators import joins
+from tidemark.operators import joins, verify
 from tidemark.plans.base import SQL_C, blank, candidates
 from tidemark.plans.common import Registry, sql_fingerprint, sql_iso
 from tidemark.runtime import table
@@ -134,7 +134,7 @@ def p_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "readings").where(ok).select("reading_id")
 
 
-_CHALLENGE = "verify you are human|are you a robot|checking your browser|security check"
+_CHALLENGE = "verify you are human|are you a robot|checking your browser|security check|enable (?:javascript|scripts|cookies)|turn on scripts|access denied|too many requests|session expired"
 
 
 @add("p_challenge", f"SELECT brief_id FROM news_briefs WHERE regexp_matches(lower(one_sentence_en), '{_CHALLENGE}')")
@@ -236,13 +236,28 @@ def j_doi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.join(h, "doi", "full").select("doi", "reading_id", "history_id")
 
 
-@add("j_verify", f"SELECT r.reading_id, count(*) FILTER (WHERE o.title = r.title AND o.journal = r.journal AND o.publication_year = r.publication_year) AS n_agree, count(*) AS n FROM readings r JOIN readings o ON {_DOI.format(x='o.doi')} = {_DOI.format(x='r.doi')} AND o.reading_id <> r.reading_id GROUP BY 1")
+#: The works that readings are held against: their own facts, of which some are spelled otherwise and some are wrong.
+_WORKS = f"""SELECT {_DOI.format(x='doi')} AS doi, upper(title) || '.' AS title, CASE WHEN reading_id % 11 = 3 THEN 'Other Annals' ELSE lower(journal) END AS journal,
+  CASE WHEN reading_id % 13 = 5 THEN [] WHEN reading_id % 17 = 6 THEN ['Nobody'] ELSE list_transform(string_split(authors, ','), lambda x: regexp_replace(trim(x), ' [A-Z]\\.$', '')) END AS families,
+  publication_year + (reading_id % 7 = 2)::INT AS year FROM readings WHERE doi IS NOT NULL AND reading_id % 19 <> 4"""
+_KEY = r"regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}_]+', '', 'g')"
+_SAME = lambda n: f"coalesce({_KEY.format(x='c.' + n)} = {_KEY.format(x='w.' + n)} AND {_KEY.format(x='c.' + n)} <> '', false)"
+
+
+@add("j_verify", f"""WITH w AS ({_WORKS}), c AS (SELECT reading_id, {_DOI.format(x='doi')} AS doi, title, journal, authors, publication_year AS year FROM readings), k AS (SELECT c.reading_id, CASE WHEN coalesce(c.doi, '') = '' THEN 0 WHEN w.doi IS NULL THEN 1 WHEN NOT {_SAME('title')} THEN 2
+  WHEN NOT {_SAME('journal')} THEN 3 WHEN NOT coalesce(len(families) > 0 AND list_bool_and(list_transform(families, lambda x: coalesce({_KEY.format(x='x')}, '') <> '' AND contains(coalesce({_KEY.format(x='c.authors')}, ''), {_KEY.format(x='x')}))), false) THEN 4 WHEN NOT coalesce(c.year = w.year, false) THEN 5 ELSE 6 END AS place
+  FROM c LEFT JOIN w ON w.doi = c.doi AND w.doi <> '') SELECT reading_id, max(place) = 6 AS verified, ['no_doi', 'unknown_doi', 'title', 'journal', 'authors', 'year', 'verified'][max(place) + 1] AS reason FROM k GROUP BY 1""")
 def j_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each reading, the other records of its DOI and how many agree in title, journal and year."""
-    r = table(spark, sf_dir, "readings").where("doi is not null").select(_doi("doi").alias("k"), "reading_id", F.struct("title", "journal", "publication_year").alias("facts"))
-    o = r.select("k", F.col("reading_id").alias("other"), F.col("facts").alias("theirs"))
-    same = (F.col("facts.title") == F.col("theirs.title")) & (F.col("facts.journal") == F.col("theirs.journal")) & (F.col("facts.publication_year") == F.col("theirs.publication_year"))
-    return r.join(o, "k").where("reading_id <> other").groupBy("reading_id").agg(F.count_if(same).alias("n_agree"), F.count(F.lit(1)).alias("n"))
+    """Readings whose title, journal, every author and year a work of their DOI confirms; the others by the first fact that fails."""
+    r = table(spark, sf_dir, "readings")
+    i = F.col("reading_id")
+    families = F.transform(F.split("authors", ","), lambda x: F.regexp_replace(F.trim(x), r" [A-Z]\.\z", ""))
+    works = r.where(F.col("doi").isNotNull() & (i % 19 != 4)).select(
+        _doi("doi").alias("doi"), F.concat(F.upper("title"), F.lit(".")).alias("title"), F.when(i % 11 == 3, "Other Annals").otherwise(F.lower("journal")).alias("journal"),
+        F.when(i % 13 == 5, F.array().cast("array<string>")).when(i % 17 == 6, F.array(F.lit("Nobody"))).otherwise(families).alias("families"), (F.col("publication_year") + (i % 7 == 2).cast("int")).alias("year"),
+    )
+    cited = r.select(i.alias("id"), _doi("doi").alias("doi"), "title", "journal", "authors", F.col("publication_year").alias("year"))
+    return verify.verify_citations(cited, works).withColumnRenamed("id", "reading_id")
 
 
 @add("j_ref", "WITH k AS (SELECT lower(regexp_replace(url, '[?#](?s:.)*$', '')) AS k, min(url) AS url FROM history WHERE url IS NOT NULL GROUP BY 1 HAVING count(DISTINCT url) = 1) SELECT summary_id, coalesce(k.url, s.url) AS resolved FROM summary s LEFT JOIN k ON k.k = lower(regexp_replace(s.url, '[?#](?s:.)*$', ''))")

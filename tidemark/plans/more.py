@@ -13,7 +13,7 @@ from tidemark.operators import scorers, state
 from tidemark.plans.base import blank
 from tidemark.plans.common import Registry, sql_iso, sql_squeeze
 from tidemark.runtime import shared_dir, table
-from tidemark.sources import pages
+from tidemark.sources import issue, pages
 
 add = Registry()
 QUERIES, SQL = add.queries, add.sql
@@ -145,6 +145,42 @@ def s_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "candidates").where(F.to_date("fetched_at") <= F.col("discovered_date")).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@add("s_replay_get", f"""WITH r AS (SELECT run_id, max(discovered_date) AS day FROM candidates GROUP BY 1), p AS (SELECT url, run_id, min(candidate_id) AS candidate_id FROM candidates JOIN r USING (run_id) WHERE url IS NOT NULL AND fetched_at::DATE <= day GROUP BY 1, 2) SELECT s.summary_id, CASE WHEN p.url IS NULL THEN 'not_in_replay' ELSE 'ok' END AS status, {sql_squeeze("coalesce(c.title, '')")} AS title FROM summary s LEFT JOIN p ON p.url = s.url AND p.run_id = s.run_id LEFT JOIN candidates c ON c.candidate_id = p.candidate_id""")
+def s_replay_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay's requests: each address of a run answered by the page that the run had by its day, built from the corpus and read back, or by a failure."""
+    c = table(spark, sf_dir, "candidates").select("candidate_id", "run_id", "url", "title", "fetched_at", "discovered_date")
+    day = c.groupBy("run_id").agg(F.max("discovered_date").alias("day"))
+    held = c.where("url is not null").join(day, "run_id").where(F.to_date("fetched_at") <= F.col("day"))
+    held = held.groupBy("url", "run_id").agg(F.min_by("title", "candidate_id").alias("title"), F.lit(True).alias("held"))
+    asked = table(spark, sf_dir, "summary").select("summary_id", "url", "run_id").join(held, ["url", "run_id"], "left")
+    page = F.when(F.col("held"), F.concat(F.lit("<html><head><title>Replay</title></head><body><article><h1>"), text.escape_html(blank("title")), F.lit("</h1></article></body></html>")))
+    asked = asked.select(F.col("summary_id").cast("string").alias("doc"), page.alias("html"))
+    read = pages.parse_pages(asked.where("html is not null"), "doc", "html").select(F.col("doc_url").alias("doc"), "title")
+    out = asked.select("doc", F.col("html").isNotNull().alias("held")).join(read, "doc", "left")
+    # a blank headline falls back to the page's name
+    title = F.when(F.col("title") == "Replay", "").otherwise(text.squeeze(F.coalesce("title", F.lit(""))))
+    return out.select(F.col("doc").cast("long").alias("summary_id"), F.when(F.col("held"), "ok").otherwise("not_in_replay").alias("status"), title.alias("title"))
+
+
+_ISSUE_SQL = """WITH n AS (SELECT digest_date, count(*) AS n, bool_or(url IS NULL) AS u, bool_or(title_en IS NULL) AS t, bool_or(source_org IS NULL) AS s, bool_or(one_sentence_en IS NULL) AS o FROM news_briefs WHERE digest_date IS NOT NULL GROUP BY 1),
+  g AS (SELECT digest_date, count(*) AS n, bool_or(url IS NULL) AS u, bool_or(title_en IS NULL) AS t, bool_or(source_org IS NULL) AS s, bool_or(core_argument_en IS NULL) AS c, bool_or(why_now_en IS NULL) AS w, bool_or(agenda_position_en IS NULL) AS a FROM digest_items WHERE digest_date IS NOT NULL GROUP BY 1)
+  SELECT digest_date, array_to_string(list_filter([CASE WHEN n.n IS NULL THEN 'recent_news' END, CASE WHEN n.o THEN 'recent_news.one_sentence_en' END, CASE WHEN n.s THEN 'recent_news.source_org' END, CASE WHEN n.t THEN 'recent_news.title_en' END, CASE WHEN n.u THEN 'recent_news.url' END,
+  CASE WHEN g.n IS NULL THEN 'research_signals' END, CASE WHEN g.a THEN 'research_signals.agenda_position_en' END, CASE WHEN g.c THEN 'research_signals.core_argument_en' END, CASE WHEN g.s THEN 'research_signals.source_org' END, CASE WHEN g.t THEN 'research_signals.title_en' END, CASE WHEN g.u THEN 'research_signals.url' END,
+  CASE WHEN g.w THEN 'research_signals.why_now_en' END, CASE WHEN n.n > 8 THEN 'too many recent_news' END, CASE WHEN g.n > 5 THEN 'too many research_signals' END], lambda x: x IS NOT NULL), ' ') AS missing FROM n FULL JOIN g USING (digest_date)"""
+
+
+@add("f_schema", _ISSUE_SQL)
+def f_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the JSON of each day's issue lacks of the strict form."""
+    lists = []
+    for name, source, columns in (("recent_news", "news_briefs", ("url", "title_en", "source_org", "one_sentence_en")), ("research_signals", "digest_items", ("url", "title_en", "source_org", "core_argument_en", "why_now_en", "agenda_position_en"))):
+        rows = table(spark, sf_dir, source).where("digest_date is not null")
+        lists.append(rows.groupBy("digest_date").agg(F.collect_list(F.struct(*columns)).alias(name)))  # an issue is edited by hand, so small
+    both = lists[0].join(lists[1], "digest_date", "full")
+    doc = F.to_json(F.struct(F.lit("Issue").alias("issue_title_en"), F.array(F.struct(F.lit("u").alias("url"), F.lit("a").alias("angle_en"))).alias("title_support"), "recent_news", "research_signals", F.array(F.lit("u")).alias("editorial_context_urls")))
+    return both.select("digest_date", F.array_join(issue.missing_fields(issue.parse_issue(doc)), " ").alias("missing"))
+
+
 @add("v_payload", "WITH a AS (SELECT brief_id, digest_date, source_org, url FROM news_briefs b WHERE url IN (SELECT url FROM history) AND digest_date IS NOT NULL AND source_org IS NOT NULL), u AS (SELECT *, row_number() OVER (PARTITION BY digest_date, url ORDER BY brief_id) AS k FROM a), n AS (SELECT *, row_number() OVER (PARTITION BY digest_date, source_org ORDER BY brief_id) AS n FROM u WHERE k = 1) SELECT brief_id FROM n WHERE n <= 2")
 def v_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Briefs of an issue that are accepted: known address, each once, two of a source, in order."""

@@ -99,6 +99,13 @@ def t_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl.within_budget(c, [F.asc("candidate_id")], 120, "provenance_url", 30).select("candidate_id")
 
 
+@add("t_reserve", "WITH h AS (SELECT candidate_id, provenance_url, row_number() OVER (PARTITION BY provenance_url ORDER BY candidate_id) AS n FROM candidates WHERE provenance_url IS NOT NULL) SELECT candidate_id FROM h WHERE n <= 20 ORDER BY candidate_id LIMIT 100")
+def t_reserve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests admitted while twenty are kept back for evidence, ten of them from each host."""
+    c = table(spark, sf_dir, "candidates").where("provenance_url is not null").select("candidate_id", "provenance_url")
+    return crawl.within_budget(c, [F.asc("candidate_id")], 120, "provenance_url", 30, evidence=20).select("candidate_id")
+
+
 @add("t_evbudget", "SELECT candidate_id FROM (SELECT candidate_id, row_number() OVER (PARTITION BY run_id ORDER BY coalesce(semantic_score, 0) DESC, candidate_id) AS n FROM candidates WHERE coalesce(full_text, '') = '' OR coalesce(published_date, '') = '') WHERE n <= 20")
 def t_evbudget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each run, the first twenty that need retrieval, in order of significance."""
