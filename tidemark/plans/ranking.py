@@ -11,7 +11,7 @@ from tidemark.operators.position import with_position
 from tidemark.operators.scoring import DEFAULT, Lexicon, assessment, body_of
 from tidemark.plans.base import FITTED, SQL_C, blank, candidates
 from tidemark.plans.common import Registry
-from tidemark.runtime import table
+from tidemark.runtime import cut_lineage, table
 
 add = Registry()
 QUERIES, SQL = add.queries, add.sql
@@ -162,25 +162,52 @@ def o_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.orderBy(F.desc("n_cues"), "candidate_id").limit(25)
 
 
-def _tags_of_run(spark: SparkSession, sf_dir: str, run: int) -> Column:
-    """The tags of one run's candidates, a controlled vocabulary of a few words, as a literal."""
-    c = table(spark, sf_dir, "candidates").where(F.col("run_id") == run).select(F.explode("tags").alias("t"))
-    return F.array(*(F.lit(r["t"]) for r in c.where("t is not null").distinct().orderBy("t").limit(10_000).collect())).cast("array<string>")
+def _wanted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Runs (run_id, wanted) with the distinct tags of their candidates, and the different sets of tags among them (wanted, tag), a row for each tag."""
+    c = table(spark, sf_dir, "candidates").where("tags is not null").select("run_id", F.explode_outer("tags").alias("t"))
+    runs = cut_lineage(c.groupBy("run_id").agg(F.array_sort(F.collect_set("t")).alias("wanted")))  # a controlled vocabulary
+    return runs, runs.select("wanted").distinct().select("wanted", F.explode("wanted").alias("tag"))
 
 
-@add("o_acad", "WITH t AS (SELECT list_distinct(flatten(list(tags))) AS wanted FROM candidates WHERE run_id = 1 AND tags IS NOT NULL) SELECT reading_id, len(list_intersect(coalesce(tags, []), wanted)) AS relevance FROM readings, t ORDER BY relevance DESC, discovery_score DESC NULLS LAST, reading_id LIMIT 40")
+def _hits(readings: DataFrame, sets: DataFrame) -> DataFrame:
+    """wanted, reading_id, relevance: how many tags a reading shares with a set, for those that share any."""
+    tags = readings.select("reading_id", F.explode(F.array_distinct("tags")).alias("tag"))
+    return tags.join(sets, "tag").groupBy("wanted", "reading_id").agg(F.count(F.lit(1)).alias("relevance"))
+
+
+def _with_fill(hits: DataFrame, runs: DataFrame, fill: list, kind: str) -> DataFrame:
+    """``hits`` and, for each set of tags, the readings ``fill`` that stand in where hits are too few."""
+    rows = F.array(*(F.lit(x) for x in fill)).cast(f"array<{kind}>")
+    others = runs.select("wanted").distinct().select("wanted", F.explode(rows).alias("reading_id"))
+    return hits.unionByName(others.withColumn("relevance", F.lit(0).cast("long"))).groupBy("wanted", "reading_id").agg(F.max("relevance").alias("relevance"))
+
+
+_T = "t AS (SELECT run_id, list_distinct(flatten(list(tags))) AS wanted FROM candidates WHERE tags IS NOT NULL GROUP BY 1)"
+
+
+@add("o_acad", f"WITH {_T} SELECT run_id, reading_id, len(list_intersect(coalesce(tags, []), wanted)) AS relevance FROM readings, t QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY relevance DESC, discovery_score DESC NULLS LAST, reading_id) <= 40")
 def o_acad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings by the tags they share with one run's candidates, then by score."""
-    overlap = F.size(F.array_intersect(F.coalesce("tags", F.array().cast("array<string>")), _tags_of_run(spark, sf_dir, 1))).cast("long")
-    return table(spark, sf_dir, "readings").select("reading_id", overlap.alias("relevance"), "discovery_score").orderBy(F.desc("relevance"), F.desc_nulls_last("discovery_score"), "reading_id").limit(40).select("reading_id", "relevance")
+    """For each run forty readings, by the tags they share with its candidates, then by score; ranked once for each different set of tags."""
+    r = table(spark, sf_dir, "readings").select("reading_id", "tags", "discovery_score")
+    runs, sets = _wanted(spark, sf_dir)
+    # readings without a shared tag come in only after all that have one, so only the best forty of all may
+    best = [x[0] for x in r.orderBy(F.desc_nulls_last("discovery_score"), "reading_id").limit(40).select("reading_id").collect()]
+    scored = _with_fill(_hits(r, sets), runs, best, "long").join(r.select("reading_id", "discovery_score"), "reading_id")
+    top = scored.withColumn("n", ranking.nth(["wanted"], [F.desc("relevance"), F.desc_nulls_last("discovery_score"), F.asc("reading_id")])).where("n <= 40")
+    return runs.join(top, "wanted").select("run_id", "reading_id", "relevance")
 
 
-@add("o_readsel", "WITH t AS (SELECT list_distinct(flatten(list(tags))) AS wanted FROM candidates WHERE run_id = 1 AND tags IS NOT NULL), r AS (SELECT reading_id, lower(trim(coalesce(doi, url, title))) AS k, (len(list_intersect(coalesce(tags, []), wanted)) > 0) AS hit FROM readings, t), f AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY hit DESC, reading_id) AS n FROM r) SELECT reading_id, hit FROM f WHERE n = 1 ORDER BY hit DESC, reading_id LIMIT 2")
+@add("o_readsel", f"WITH {_T}, r AS (SELECT run_id, reading_id, lower(trim(coalesce(doi, url, title))) AS k, (len(list_intersect(coalesce(tags, []), wanted)) > 0) AS hit FROM readings, t), f AS (SELECT *, row_number() OVER (PARTITION BY run_id, k ORDER BY hit DESC, reading_id) AS n FROM r) SELECT run_id, reading_id, hit FROM f WHERE n = 1 QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY hit DESC, reading_id) <= 2")
 def o_readsel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hit = F.arrays_overlap(F.coalesce("tags", F.array().cast("array<string>")), _tags_of_run(spark, sf_dir, 1))
-    r = table(spark, sf_dir, "readings").select("reading_id", F.lower(F.trim(F.coalesce("doi", "url", "title"))).alias("k"), F.coalesce(hit, F.lit(False)).alias("hit"))
-    one = r.withColumn("n", ranking.nth(["k"], [F.desc("hit"), F.asc("reading_id")])).where("n = 1")
-    return one.orderBy(F.desc("hit"), "reading_id").limit(2).select("reading_id", "hit")
+    """For each run two different readings, those that share a tag with its candidates first."""
+    r = table(spark, sf_dir, "readings").select("reading_id", "tags", F.lower(F.trim(F.coalesce("doi", "url", "title"))).alias("k"))
+    runs, sets = _wanted(spark, sf_dir)
+    # where fewer than two hits differ, one more than is missing of all different readings will do
+    first = [x[0] for x in r.groupBy("k").agg(F.min("reading_id").alias("reading_id")).orderBy("reading_id").limit(3).select("reading_id").collect()]
+    rows = _with_fill(_hits(r, sets), runs, first, "long").join(r.select("reading_id", "k"), "reading_id").withColumn("hit", F.col("relevance") > 0)
+    one = rows.withColumn("n", ranking.nth(["wanted", "k"], [F.desc("hit"), F.asc("reading_id")])).where("n = 1")
+    top = one.withColumn("n", ranking.nth(["wanted"], [F.desc("hit"), F.asc("reading_id")])).where("n <= 2")
+    return runs.join(top, "wanted").select("run_id", "reading_id", "hit")
 
 
 @add("o_fulltext", "SELECT candidate_id, row_number() OVER (PARTITION BY run_id ORDER BY (coalesce(full_text, '') <> '')::INT DESC, candidate_id) AS place FROM candidates")
