@@ -15,7 +15,7 @@ def spark():
 
     s = (
         SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "6g").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.driver.memory", "6g").config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     ship(s)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,7 +120,7 @@ def k_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
 @add("k_state", "SELECT url, max(last_seen) AS last_seen FROM history WHERE url IS NOT NULL GROUP BY 1")
 def k_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State written as a whole and read again."""
-    path = f"{shared_dir(spark)}/state-{zlib.crc32(sf_dir.encode()):x}"
+    path = f"{shared_dir(spark)}/state-{uuid.uuid4().hex}"  # of this run alone
     table(spark, sf_dir, "history").where("url is not null").groupBy("url").agg(F.max("last_seen").alias("last_seen")).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -212,7 +212,7 @@ _SCHEMA = "item_id bigint, title_en string, source_org string, url string, core_
 
 
 def _archived(spark: SparkSession, sf_dir: str, name: str) -> str:
-    path = f"{shared_dir(spark)}/{name}-{zlib.crc32(sf_dir.encode()):x}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"  # of this run alone
     archive.write_archive(table(spark, sf_dir, "digest_items").select("digest_date", "item_id", "title_en", "source_org", "url", "core_argument_en"), path)
     return path
 

@@ -147,7 +147,7 @@ def t_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @add("t_asof", f"WITH r AS (SELECT run_id, max(discovered_date) AS d FROM candidates GROUP BY 1) SELECT run_id, d AS run_date, (SELECT count(*) FROM history h WHERE h.published_date <= d) AS known FROM r WHERE d IS NOT NULL")
 def t_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How much of history each run could have known: one running sum over days, looked up by range."""
+    """How much of history each run could have known: counts of days, summed up to each run's day."""
     r = table(spark, sf_dir, "candidates").groupBy("run_id").agg(F.max("discovered_date").alias("run_date")).where("run_date is not null")
     per_day = table(spark, sf_dir, "history").where("published_date is not null").groupBy(F.col("published_date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     days = r.select("run_date").distinct().join(F.broadcast(per_day), F.col("day") <= F.col("run_date"), "left").groupBy("run_date").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("known"))  # as many rows as there are days
