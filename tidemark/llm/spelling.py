@@ -13,7 +13,7 @@ What counts: letters and digits, in lower case. All else is skipped: white space
 characters, punctuation, symbols. An empty field counts as none.
 
 Defined results: null texts belong to no group; texts with no letter or digit at all are one
-group of their own kind only when their raw spelling is equal; equal rows count one by one,
+group; equal rows count one by one,
 the smallest id being the first; an empty table gives an empty one.
 """
 
