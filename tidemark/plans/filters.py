@@ -289,7 +289,9 @@ def j_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "summary").select("summary_id", "url").join(table(spark, sf_dir, "candidates").select("url"), "url", "left_semi").select("summary_id")
 
 
-@add("j_self")
+@add("j_self", """WITH t AS (SELECT candidate_id AS id, run_id, list_sort(regexp_extract_all(lower(title), '[a-z0-9]+')) AS toks FROM candidates WHERE len(regexp_extract_all(lower(title), '[a-z0-9]+')) > 0), same AS (SELECT run_id, toks, min(id) AS first FROM t GROUP BY 1, 2),
+  v AS (SELECT id, run_id, tok, count(*) AS n FROM (SELECT first AS id, run_id, unnest(toks) AS tok FROM same) GROUP BY 1, 2, 3), q AS (SELECT id, sum(n * n) AS sq FROM v GROUP BY 1), d AS (SELECT x.id AS a, y.id AS b, sum(x.n * y.n) AS dot FROM v x JOIN v y ON x.run_id = y.run_id AND x.tok = y.tok AND x.id < y.id GROUP BY 1, 2)
+  SELECT a, b, round(dot / sqrt(qa.sq * qb.sq), 6) AS cosine FROM d JOIN q qa ON qa.id = a JOIN q qb ON qb.id = b WHERE dot / sqrt(qa.sq * qb.sq) > 0.85 UNION ALL SELECT first, id, 1.0 FROM t JOIN same USING (run_id, toks) WHERE id > first""")
 def j_self(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of documents of a run with near titles (cosine over 0.85), each pair once."""
     c = table(spark, sf_dir, "candidates").select("candidate_id", "run_id", "title")

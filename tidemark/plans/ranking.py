@@ -270,11 +270,14 @@ def u_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(b, ["digest_date", "url"], "left").groupBy("digest_date").agg(F.bool_and(F.coalesce("cited", F.lit(False))).alias("all_cited"))
 
 
-@add("w_ngram")
+_WORDS = r"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}_]+')"
+
+
+@add("w_ngram", f"WITH r AS (SELECT reading_id, {_WORDS.format(x='note_en')} AS n, {_WORDS.format(x='abstract_en')} AS s FROM readings) SELECT reading_id FROM r WHERE len(s) >= 20 AND len(n) > 0 AND len(list_filter(range(1, greatest(len(n) - 5, 1) + 1), lambda i: contains(' ' || array_to_string(s, ' ') || ' ', ' ' || array_to_string(n[i:i + 5], ' ') || ' '))) > 0")
 def w_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings whose note repeats 25 words of the abstract in a row. See the SQL-free test."""
+    """Readings whose note repeats six words of the abstract in a row."""
     from tidemark.operators.overlap import copies_span
 
-    return table(spark, sf_dir, "readings").select("reading_id", copies_span("note_en", "abstract_en", 25).alias("copied")).where("copied").select("reading_id")
+    return table(spark, sf_dir, "readings").select("reading_id", copies_span("note_en", "abstract_en", 6).alias("copied")).where("copied").select("reading_id")
 
 

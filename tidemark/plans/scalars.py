@@ -69,7 +69,7 @@ _simple("f_url2", "candidates", "candidate_id", lambda: urls.canonical_url("url"
 _simple("f_url3", "candidates", "candidate_id", lambda: urls.article_key("url"), rf"CASE WHEN url IS NOT NULL THEN regexp_replace(lower({_part(2)}), '^www\.', '') || {_PATH} || (CASE WHEN {_sql_query('fbclid|gclid', False)} <> '' THEN '?' || {_sql_query('fbclid|gclid', False)} ELSE '' END) END", "article_key")
 
 
-@add("f_mkey")
+@add("f_mkey", r"SELECT reading_id, regexp_replace(lower(strip_accents(title)), '[^\p{L}\p{N}]+', '', 'g') AS title_key FROM readings")
 def f_mkey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "readings").select("reading_id", text.metadata_key("title").alias("title_key"))
 
