@@ -70,7 +70,7 @@ def own_text(value: str) -> tuple[str, list[str]]:
             seen.append("tag")
         elif m := _AFTER.search(text, tail):
             at = m.start()
-            seen.append(re.sub(r"\d+|on .*", "#", m.group().strip().lower()))
+            seen.append(_MONTH.sub("month", re.sub(r"\d+|on .*", "#", m.group().strip().lower())))
         elif tag >= 0 and not closed and (text[tag + 1 : tag + 2].isalpha() or text[tag + 1 : tag + 2] in ("", "/", "!")):
             at = tag
             seen.append("half tag")
