@@ -12,8 +12,8 @@ phrase closes a value of the whole corpus; no remark is written down here. Every
 table is then scored.
 
 Defined results: null and blank values are never cut; a value that ends with its sentence is
-whole whatever follows; a value cut exactly at the end of a sentence counts as whole; an empty
-table gives an empty one. Ids need not be unique: every row is scored by itself.
+whole whatever follows; a value cut exactly at the end of a sentence counts as whole; where
+there is nothing to learn from nothing is cut; an empty table gives an empty one. Ids need not be unique: every row is scored by itself.
 """
 
 from __future__ import annotations
@@ -241,7 +241,7 @@ def fit(fields: list[list[str]], statistics: list[tuple[frozenset[int], frozense
         for k in range(FOLDS):  # a value is judged by a model that hasn't seen it
             w = weights(of != k, kept)
             for i in np.flatnonzero(of == k):
-                now[i] = w[list(listed[whole[i]])].sum() < 0
+                now[i] = w[list(listed[whole[i]])].sum() <= 0
         if (now == kept).all():
             break
         kept = now
@@ -273,7 +273,7 @@ def cut_values(df: DataFrame, ident: str, text: str, carry: list[str] | None = N
             yield pd.Series(held.value.score(b.tolist()), dtype="float64")
 
     scored = rows.where(F.trim("_value") != "").withColumn("score", score("_value")).where("score is not null").drop("_value")
-    return scored.withColumn("is_cut", F.col("score") >= threshold)
+    return scored.withColumn("is_cut", F.col("score") > threshold)
 
 
 FIELDS = (("candidates", "candidate_id", "summary_hint", "source_org"), ("readings", "reading_id", "abstract_en", "journal"), ("readings", "reading_id", "note_en", "journal"))
