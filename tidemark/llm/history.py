@@ -195,7 +195,7 @@ class Store:
 
     def append(self, accepted: DataFrame) -> None:
         """Adds newly accepted records; nothing written is read again."""
-        self._write(_tables(accepted, _chunked(accepted, None), self.common), "append")
+        self._write(_tables(accepted, cut_lineage(_chunked(accepted, None)), self.common), "append")
 
     def near(self, name: str, probes: DataFrame) -> DataFrame:
         """The rows of the buckets that the keys of ``probes`` fall into: at most ``buckets`` numbers are collected."""
