@@ -365,6 +365,29 @@ def test_history_reads_what_a_batch_needs(spark, tmp_path):
     assert read[1] < 12 and read[1] < read[60] / 4
 
 
+def test_history_phrases_in_common_are_not_written(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    phrases = [" ".join(word() for _ in range(7)) for _ in range(60)]
+    kind = "id long, url string, doi string, fingerprint string, title string, summary string"
+    rows = [(i, None, None, None, None, " ".join(rng.choice(phrases) for _ in range(10))) for i in range(400)]
+    old = spark.createDataFrame(rows, kind)
+    new = spark.createDataFrame([(1000 + i, None, None, None, None, s.replace("a", "x", 4)) for i, *_, s in rows[:200]] + [(3000 + i, None, None, None, None, " ".join(rng.choice(phrases) for _ in range(10))) for i in range(200)], kind)
+    accepted = history.Accepted(old)
+    theirs, mine = ([(r.id, history.words(r.summary)) for r in df.collect()] for df in (old, new))
+    expected = {(k, i) for k, a in theirs for i, b in mine if history.same_text(a, b)}
+    pairs = history.duplicates(new, accepted)
+    assert {(r.kept_id, r.id) for r in pairs.collect()} == expected and len(expected) >= 200
+    # nearly all of the 160,000 pairs share a phrase; those that are written are about those that are the same
+    chunked = history._chunked(new, accepted.common)
+    probes = chunked.select(F.explode("chunks").alias("hash"), "id", *history.BITS, "words")
+    assert history.meet(accepted.near("postings", probes), probes).distinct().count() < 2 * len(expected)
+    # no more bits differ than words do
+    for (_, a), (_, b) in zip(theirs, mine, strict=True):
+        bits = sum(bin((x ^ y) & ((1 << 64) - 1)).count("1") for x, y in zip(history.parity(a), history.parity(b), strict=True))
+        assert bits <= len(a) + len(b) - 2 * (Counter(a) & Counter(b)).total()
+
+
 # --- 7 ---------------------------------------------------------------------------------------
 
 

@@ -9,8 +9,11 @@ Two ways lead from a new record to an accepted one:
   every word whose hash falls under a bound, so an edit only changes the chunk it is in. Accepted
   records keep their chunks in a table of chunk to record that is written once and appended to.
   The longest chunks, up to ``1 - SPARE`` of the bytes, are indexed, chunks held by very many
-  accepted records last; a batch's chunks join that table, shared bytes are summed, and pairs
-  that cover ``COVER`` of the longer text go to an exact comparison of their words.
+  accepted records last; a batch's chunks meet that table. Of two texts that share a chunk only
+  those go on that may have ``SAME`` of their words in common: their numbers of words tell, and 192
+  bits of each text, one by the parity of the words that hash to it (the second "the" of a text
+  being another word than the first), of which no more can differ than words do. So pairs that merely share a phrase, whose number grows as the square of the
+  tables, are never written anywhere, and none is lost. The rest is compared word by word.
 
 ``Accepted`` holds history in the session; a ``Store`` keeps it in the shared folder, each table
 parted into buckets of its join key. A batch then reads only the buckets that its keys, chunks
@@ -36,8 +39,10 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,10 +50,12 @@ from pyspark.sql import types as T
 
 from tidemark.runtime import cut_lineage, require, shared_dir, table
 
-#: Mean bytes of a chunk; share of a text's bytes not indexed; common chunks at most; shared bytes of the longer text for a comparison.
+#: Mean bytes of a chunk; share of a text's bytes not indexed; common chunks at most; share of a text's bytes, below which shared chunks don't tell.
 MEAN, SPARE, COMMON, COVER = 28, 0.35, 4_000, 0.12
-#: Least share of words in common, in order; least ratio of the lengths; fewest words of a summary.
-SAME, LENGTHS, SHORT = 0.85, 0.75, 5
+#: Least share of words in common, in order; fewest words of a summary; pairs looked at in one go.
+SAME, SHORT, STEP = 0.85, 5, 1 << 18
+#: Columns of 64 bits each that a text is told apart by.
+BITS = ("b1", "b2", "b3")
 _WORD = re.compile(r"[㐀-鿿豈-﫿぀-ヿ]|[^\W_]+")
 _TAG = re.compile(r"<[^<>]*>")
 #: Beginnings of the digests of an empty text, and values that stand for none. Fixed values.
@@ -90,37 +97,57 @@ def indexed(found: list[tuple[int, int]], common: dict[int, int]) -> list[tuple[
     return out
 
 
-_CHUNK = T.ArrayType(T.StructType([T.StructField("hash", T.LongType()), T.StructField("size", T.IntegerType())]))
+def probed(found: list[tuple[int, int]], common: dict[int, int]) -> list[tuple[int, int]]:
+    """The indexed chunks but for the most common, which together have less than ``COVER`` of the bytes: what shares ``COVER`` still shares one of the rest."""
+    left, out = COVER * sum(n for _, n in found), []
+    for h, n in reversed(indexed(found, common)):  # the most common first
+        if h in common and n < left:
+            left -= n
+        else:
+            out.append((h, n))
+    return out
+
+
+_place = lru_cache(1 << 16)(xxhash.xxh32_intdigest)
+
+
+def parity(text: list[str]) -> tuple[int, ...]:
+    """As many bits as ``BITS`` hold; no more of them differ between two texts than words do, repetitions counted."""
+    out, seen = 0, Counter()
+    for w in text:
+        n = seen[w]
+        seen[w] = n + 1
+        out ^= 1 << (((_place(w) + n * 0x9E3779B1 & 0xFFFFFFFF) * 64 * len(BITS)) >> 32)
+    return tuple((out >> 64 * k & ((1 << 64) - 1)) - (1 << 63) for k in range(len(BITS)))
 
 
 def _chunked(df: DataFrame, common: dict[int, int] | None) -> DataFrame:
-    """id, t1, t2 (hash of the words), total, chunks of rows id, title, summary with a summary; all chunks, or the indexed ones, none of short summaries."""
-    schema = T.StructType([df.schema["id"], *(T.StructField(n, T.LongType()) for n in ("t1", "t2")), T.StructField("total", T.IntegerType()), T.StructField("chunks", _CHUNK)])
-    kind = pa.list_(pa.struct([("hash", pa.int64()), ("size", pa.int32())]))
+    """id, t1, t2 (hash of the words), ``BITS`` (their parity), words, chunks, sizes of rows id, title, summary with a summary; all chunks, or those to look up, none of short summaries."""
+    schema = T.StructType([df.schema["id"], *(T.StructField(n, T.LongType()) for n in ("t1", "t2", *BITS)), T.StructField("words", T.IntegerType()), T.StructField("chunks", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep, t1, t2, total, found = [], [], [], [], []
+            keep, marks, found = [], [], []
             for k, (title, summary) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
                 body = words(summary)
                 if not body:
                     continue
                 text = words(title) + body
-                whole = xxhash.xxh128_intdigest(" ".join(text))
                 c = chunks(text) if len(body) >= SHORT else []
                 keep.append(k)
-                t1.append((whole >> 64) - (1 << 63))
-                t2.append((whole & ((1 << 64) - 1)) - (1 << 63))
-                total.append(sum(n for _, n in c))
-                found.append([{"hash": h, "size": n} for h, n in (c if common is None else indexed(c, common))])
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), pa.array(t1, pa.int64()), pa.array(t2, pa.int64()), pa.array(total, pa.int32()), pa.array(found, kind)], names=[f.name for f in schema.fields])
+                whole = xxhash.xxh128_intdigest(" ".join(text))
+                marks.append(((whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63), *parity(text), len(text)))
+                found.append(c if common is None else probed(c, common))
+            columns = [b.column(0).take(pa.array(keep, pa.int64())), *(pa.array([m[i] for m in marks], pa.int64()) for i in range(2 + len(BITS))), pa.array([m[-1] for m in marks], pa.int32())]
+            columns += [pa.array([[h for h, _ in c] for c in found], pa.list_(pa.int64())), pa.array([[n for _, n in c] for c in found], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return df.select("id", "title", "summary").mapInArrow(run, schema)
 
 
 def _common(chunked: DataFrame) -> dict[int, int]:
     """Chunks held by so many records that each has more than 1 / COMMON of all chunks: fewer than COMMON."""
-    count = chunked.select(F.explode("chunks.hash").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    count = chunked.select(F.explode("chunks").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
     total = chunked.agg(F.sum(F.size("chunks"))).first()[0] or 0
     return {r["hash"]: r["n"] for r in count.where(F.col("n") > max(total / COMMON, 5)).limit(COMMON).collect()}
 
@@ -128,13 +155,13 @@ def _common(chunked: DataFrame) -> dict[int, int]:
 def _tables(accepted: DataFrame, chunked: DataFrame, common: dict[int, int]) -> dict[str, DataFrame]:
     """The tables in which accepted records are looked up, by name; the first column or two of each are the key."""
 
-    @F.pandas_udf(_CHUNK)
-    def pick(found: pd.Series) -> pd.Series:
-        return pd.Series([[{"hash": h, "size": n} for h, n in indexed([(c["hash"], c["size"]) for c in f], common)] for f in found])
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def pick(found: pd.Series, sizes: pd.Series) -> pd.Series:
+        return pd.Series([[h for h, _ in indexed(list(zip(f.tolist(), n.tolist(), strict=True)), common)] for f, n in zip(found, sizes, strict=True)])
 
-    posted = chunked.where(F.size("chunks") > 0).select("id", "total", F.explode(pick("chunks")).alias("c"))
+    posted = chunked.where(F.size("chunks") > 0).select("id", *BITS, "words", F.explode(pick("chunks", "sizes")).alias("hash"))
     return {
-        "postings": posted.select("c.hash", "c.size", F.col("id").alias("kept_id"), F.col("total").alias("kept_total")),
+        "postings": posted.select("hash", F.col("id").alias("kept_id"), *BITS, "words"),
         "whole": chunked.select("t1", "t2", F.col("id").alias("kept_id")),
         "keys": identity_keys(accepted).select("kind", "key", F.col("id").alias("kept_id")),
         "texts": accepted.select(F.col("id").alias("kept_id"), F.col("title").alias("a_title"), F.col("summary").alias("a_summary")),
@@ -143,7 +170,7 @@ def _tables(accepted: DataFrame, chunked: DataFrame, common: dict[int, int]) ->
 
 #: The columns of the stored tables, and those that a table is looked up and parted by.
 _SCHEMAS = {
-    "postings": "hash long, size int, kept_id {}, kept_total int, bucket int", "whole": "t1 long, t2 long, kept_id {}, bucket int", "keys": "kind string, key string, kept_id {}, bucket int",
+    "postings": "hash long, kept_id {}, " + ", ".join(f"{b} long" for b in BITS) + ", words int, bucket int", "whole": "t1 long, t2 long, kept_id {}, bucket int", "keys": "kind string, key string, kept_id {}, bucket int",
     "texts": "kept_id {}, a_title string, a_summary string, bucket int",
 }
 _BY = {"postings": ("hash",), "whole": ("t1",), "keys": ("key",), "texts": ("kept_id",)}
@@ -216,16 +243,50 @@ def same_text(a: list[str], b: list[str]) -> bool:
     return SequenceMatcher(None, a, b, autojunk=False).ratio() >= SAME
 
 
+def meet(postings: DataFrame, probes: DataFrame) -> DataFrame:
+    """kept_id, id of the rows with an equal hash that may be the same text, some repeatedly; both have hash, ``BITS``, words.
+
+    Both sides lie in one table ordered by hash, the accepted first, so a task holds the accepted rows of one hash at most.
+    """
+    schema = T.StructType([postings.schema["kept_id"], probes.schema["id"]])
+    sides = postings.select("hash", "kept_id", F.lit(None).cast(schema["id"].dataType).alias("id"), F.lit(False).alias("new"), *BITS, "words")
+    sides = sides.unionByName(probes.select("hash", F.lit(None).cast(schema["kept_id"].dataType).alias("kept_id"), "id", F.lit(True).alias("new"), *BITS, "words"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            old, new = (pa.Table.from_batches([b.filter(m)]) for m in (pc.invert(b.column("new")), b.column("new")))
+            old = pa.concat_tables([held, old]).combine_chunks() if held is not None else old
+            (oh, on, *ob), (nh, nn, *nb) = ([t.column(c).to_numpy() for c in ("hash", "words", *BITS)] for t in (old, new))
+            first = np.searchsorted(oh, nh, "left")
+            count = np.searchsorted(oh, nh, "right") - first
+            end = np.cumsum(count)
+            for at in range(0, int(end[-1]) if len(end) else 0, STEP):
+                to = min(at + STEP, int(end[-1]))
+                a, z = np.searchsorted(end, at, "right"), np.searchsorted(end, to, "left") + 1
+                begun = np.maximum(end[a:z] - count[a:z], at)
+                times = np.minimum(end[a:z], to) - begun
+                n = np.repeat(np.arange(a, z), times)
+                o = np.arange(at, to) - np.repeat(end[a:z] - count[a:z] - first[a:z], times)
+                total = on[o] + nn[n]
+                apart = sum(np.bitwise_count((x[o] ^ y[n]).view(np.uint64)) for x, y in zip(ob, nb, strict=True))
+                ok = apart <= (1 - SAME) * total + 1e-6
+                ok &= 2 * np.minimum(on[o], nn[n]) >= SAME * total - 1e-6
+                if ok.any():
+                    yield pa.RecordBatch.from_arrays([old.column("kept_id").take(pa.array(o[ok])).combine_chunks(), new.column("id").take(pa.array(n[ok])).combine_chunks()], names=["kept_id", "id"])
+            last = b.column("hash")[b.num_rows - 1].as_py() if b.num_rows else None
+            held = old.slice(int(np.searchsorted(oh, last, "left"))) if last is not None else held
+
+    return sides.repartition("hash").sortWithinPartitions("hash", "new").mapInArrow(run, schema)
+
+
 def content_pairs(batch: DataFrame, accepted: Accepted | Store) -> DataFrame:
     """kept_id, id: rows of ``batch`` (id, title, summary) whose text is that of an accepted record but for about one word in ten."""
     mine = cut_lineage(_chunked(batch, accepted.common))
     # rows of equal text are one up to the end: the first stands for all, chosen map-side first
-    one = mine.where(F.size("chunks") > 0).groupBy("t1", "t2").agg(F.min_by(F.struct("id", "total", "chunks"), "id").alias("r")).select("r.*")
-    probes = one.select("id", "total", F.explode("chunks").alias("c")).select("c.hash", "c.size", "id", "total")
-    near = F.col("total").between(F.col("kept_total") * LENGTHS, F.col("kept_total") / LENGTHS)
-    shared = probes.join(accepted.near("postings", probes), ["hash", "size"]).where(near)
-    shared = shared.groupBy("kept_id", "id").agg(F.sum("size").alias("shared"), F.first(F.greatest("total", "kept_total")).alias("longer"))
-    pairs = cut_lineage(shared.where(F.col("shared") >= F.col("longer") * COVER).select("kept_id", "id"))
+    one = mine.where(F.size("chunks") > 0).groupBy("t1", "t2").agg(F.min_by(F.struct("id", "chunks", *BITS, "words"), "id").alias("r")).select("r.*")
+    probes = one.select(F.explode("chunks").alias("hash"), "id", *BITS, "words")
+    pairs = cut_lineage(meet(accepted.near("postings", probes), probes).distinct())
 
     @F.pandas_udf(T.BooleanType())
     def compare(t1: pd.Series, s1: pd.Series, t2: pd.Series, s2: pd.Series) -> pd.Series:
