@@ -146,6 +146,19 @@ def test_boilerplate_repeated_lines(spark):
     assert not {x.key for x in boilerplate.read_lines(pages[0]) if ", in " in x.text} & set(got)
 
 
+def test_boilerplate_counts_every_page(spark, monkeypatch):
+    pages = [p for p, _ in site_pages(300)] + ["", "\n"]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)] + [(999, None)], "id long, page string")
+    shares = boilerplate.repeated_lines(df, "page")
+    want = boilerplate.count_pages([boilerplate.read_lines(p, shares) for p in pages])
+    model = boilerplate.model_for(df, "id", "page", 20)
+    assert want.lines and model.lines == want.lines
+    assert model.words.keys() == want.words.keys() and all(abs(model.words[w] - v) < 1e-9 for w, v in want.words.items())
+    # counts that a task passes on in parts
+    monkeypatch.setattr(boilerplate, "HELD", 30)
+    assert boilerplate.count_all(df, "page", shares) == want
+
+
 def test_boilerplate_odd_cases(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "\n".join(["word " * 200 + "end."] * 300), "z"), (3, "Home", "z")], "id long, page string, lines string")
     assert {(r.id, len(r.lines)) for r in boilerplate.page_lines(df, "id", "page").collect()} == {(2, 0), (3, 0), (3, 1)}

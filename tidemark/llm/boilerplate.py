@@ -5,7 +5,7 @@ below it, or a run of lines between blanks), and lines. Each line gets the featu
 its own text, how many pages of the corpus repeat it, what its words and the line itself are
 elsewhere, attribute tokens (single words that name site furniture), density of running text in
 its section, depth, and statistics of the lines beside it. Gradient-boosted trees, fitted here
-on a bounded sample of pages, give each line a probability; decoding then chooses labels for
+on a bounded sample of pages with counts taken over all pages, give each line a probability; decoding then chooses labels for
 the whole tree at once, so that no teaser below a heading of other pieces, and no heading on a
 page without running text, is kept against its section or page.
 
@@ -15,7 +15,9 @@ furniture; a line within the span is furniture if pages repeat it and often outs
 or if it is short and has an attribute token. What a word is worth is learnt from these labels.
 
 The lines that many pages repeat are counted over all pages, letter case and digits aside; those kept
-number at most ``MOST`` times the mean lines of a page, whatever the size of the corpus.
+number at most ``MOST`` times the mean lines of a page, whatever the size of the corpus. Where these lines
+stand and what labels the words have is counted over all pages, too; the words kept have more than
+one in ``VOCABULARY`` of all counts each.
 
 Defined results: null and blank pages have no lines; blank lines are never reported; a page
 without an article gives all its lines; lines are cut at ``\\n`` only and counted from 1; very
@@ -44,6 +46,8 @@ from tidemark.runtime import bounded_sample, cut_lineage, require, table
 SAMPLE, TREES, DEPTH, BINS, RATE = 6_000, 40, 4, 32, 0.25
 #: A repeated line is on one of ``MOST`` pages at least, and these have ``LEAST`` different lines among their two longest.
 MOST, LEAST = 20_000, 5
+#: Words kept at most; counts that a task holds before it passes them on.
+VOCABULARY, HELD = 200_000, 200_000
 ENDS = ".!?。！？…"
 CLOSE = "\"'”’»)]）」』"
 EDGE = " \t\r\xa0\u200b\ufeff"
@@ -223,14 +227,18 @@ def span(lines: list[Line]) -> tuple[int, int]:
     return (at[0], at[-1]) if at else (0, -1)
 
 
-def label(lines: list[Line], outside: dict[int, tuple[int, float]]) -> np.ndarray:
-    """1 furniture, 0 article, -1 unsure: the labels of a training page, by place and repetition."""
+def label(lines: list[Line], outside: dict[int, tuple[int, float]] | None) -> np.ndarray:
+    """1 furniture, 0 article, -1 unsure: the labels of a training page, by place and repetition. Without ``outside`` 2 for those that it decides."""
     y = np.full(len(lines), -1, np.int8)
     first, last = span(lines)
     for i, x in enumerate(lines):
         if first <= i <= last:
-            apart = outside.get(x.key, (0, 0.0))[1] if x.share else 0.0
-            y[i] = (-1 if _told(x) else 0) if x.sentence else 1 if apart > 0.2 or _told(x) else 0
+            told = _told(x)
+            if outside is None and x.share and not x.sentence and not told:
+                y[i] = 2
+                continue
+            apart = outside.get(x.key, (0, 0.0))[1] if outside and x.share else 0.0
+            y[i] = (-1 if told else 0) if x.sentence else 1 if apart > 0.2 or told else 0
         elif i > last or x.share or i < first - 1:
             y[i] = 1
     for first, end, headed in sections(lines):
@@ -342,24 +350,106 @@ def furniture_lines(pages: list[str], model: Trees) -> list[list[int]]:
     return out
 
 
-def fit(pages: list[str], shares: dict[int, float]) -> Model:
-    read = [read_lines(p, shares) for p in pages]
-    n, apart = Counter(), Counter()
-    for lines in read:
+class Tally:
+    """Counts over pages: of repeated lines, how often they stand, outside the span, and where that decides their label; of words, how many lines of either label have them."""
+
+    def __init__(self) -> None:
+        self.lines: dict[int, list] = {}  # [n, outside the span, left to decide, their words]
+        self.words: tuple[Counter, Counter] = Counter(), Counter()
+
+    def add(self, lines: list[Line]) -> None:
         first, last = span(lines)
-        n.update(x.key for x in lines if x.share)
-        apart.update(x.key for i, x in enumerate(lines) if x.share and not first <= i <= last)
-    model = Model(shares, {}, {k: (m, apart[k] / m) for k, m in n.items() if m > 2})
+        for i, (x, v) in enumerate(zip(lines, label(lines, None).tolist(), strict=True)):
+            if x.share:
+                c = self.lines.setdefault(x.key, [0, 0, 0, None])
+                c[0] += 1
+                c[1] += not first <= i <= last
+                if v == 2:
+                    c[2] += 1
+                    c[3] = c[3] or sorted(set(x.words))
+            if 0 <= v <= 1:
+                self.words[v].update(set(x.words))
+
+    def __len__(self) -> int:
+        return len(self.lines) + sum(map(len, self.words))
+
+
+@dataclass
+class Counts:
+    """What a ``Tally`` of all pages says: the repeated lines, and the words' odds of being furniture."""
+
+    lines: dict[int, tuple[int, float]]
+    words: dict[str, float]
+
+
+def _decided(lines: dict[int, tuple[int, float]], left: list[tuple[int, int, list[str]]]) -> tuple[Counter, Counter]:
+    """The counts of the words of lines (key, times, words) whose label is that of the line's place elsewhere."""
+    out = Counter(), Counter()
+    for key, n, words in left:
+        c = out[lines.get(key, (0, 0.0))[1] > 0.2]
+        for w in words:
+            c[w] += n
+    return out
+
+
+def _odds(n0: int, n1: int, total: tuple[int, int]) -> float:
+    return max(-4.0, min(4.0, log((n1 + 0.5) / max(1, total[1])) - log((n0 + 0.5) / max(1, total[0]))))
+
+
+def count_pages(read: list[list[Line]]) -> Counts:
+    """As ``count_all``, of a list."""
+    tally = Tally()
+    for x in read:
+        tally.add(x)
+    lines = {k: (m, apart / m) for k, (m, apart, _, _) in tally.lines.items() if m > 2}
+    n0, n1 = (c + d for c, d in zip(tally.words, _decided(lines, [(k, c[2], c[3]) for k, c in tally.lines.items() if c[2]]), strict=True))
+    total = n0.total(), n1.total()
+    return Counts(lines, {w: _odds(n0[w], n1[w], total) for w in n0 | n1 if n0[w] + n1[w] > max(2, sum(total) / VOCABULARY)})
+
+
+def count_all(df: DataFrame, text: str, shares: dict[int, float]) -> Counts:
+    """Lines and words counted over every page of ``df``."""
+    spark = df.sparkSession
+    held = spark.sparkContext.broadcast(shares)  # bounded: the repeated lines
+    kind = "key long, word string, a long, b long, left long, words array<string>"
+
+    def put(t: Tally) -> pa.RecordBatch:
+        lines = list(t.lines.items())
+        words = sorted(t.words[0].keys() | t.words[1].keys())
+        none = [None] * len(words)
+        return pa.RecordBatch.from_arrays([
+            pa.array([k for k, _ in lines] + none, pa.int64()), pa.array([None] * len(lines) + words, pa.string()), pa.array([c[0] for _, c in lines] + [t.words[0][w] for w in words], pa.int64()),
+            pa.array([c[1] for _, c in lines] + [t.words[1][w] for w in words], pa.int64()), pa.array([c[2] for _, c in lines] + none, pa.int64()), pa.array([c[3] for _, c in lines] + none, pa.list_(pa.string())),
+        ], names=["key", "word", "a", "b", "left", "words"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
+        for b in batches:
+            for page in b.column(0).to_pylist():
+                tally.add(read_lines(page, held.value))
+                if len(tally) > HELD:
+                    yield put(tally)
+                    tally = Tally()
+        yield put(tally)
+
+    found = df.where(F.col(text).isNotNull()).select(text).mapInArrow(run, kind)
+    found = cut_lineage(found.groupBy("key", "word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("left").alias("left"), F.max("words").alias("words")))
+    rows = found.where("key is not null").select("key", "a", "b", "left", "words").toArrow().to_pylist()  # bounded: the repeated lines
+    lines = {r["key"]: (r["a"], r["b"] / r["a"]) for r in rows if r["a"] > 2}
+    more = _decided(lines, [(r["key"], r["left"], r["words"]) for r in rows if r["left"]])
+    told = spark.createDataFrame(pa.table({"word": pa.array([w for c in more for w in c], pa.string()), "a": pa.array([*more[0].values(), *[0] * len(more[1])], pa.int64()), "b": pa.array([*[0] * len(more[0]), *more[1].values()], pa.int64())}))
+    words = found.where("word is not null").select("word", "a", "b").unionByName(told).groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    total = tuple(x or 0 for x in words.agg(F.sum("a"), F.sum("b")).first())
+    kept = words.where(F.col("a") + F.col("b") > max(2, sum(total) / VOCABULARY)).toArrow().to_pydict()  # fewer than VOCABULARY
+    return Counts(lines, {w: _odds(a, b, total) for w, a, b in zip(kept["word"], kept["a"], kept["b"], strict=True)})
+
+
+def fit(pages: list[str], shares: dict[int, float], counts: Counts | None = None) -> Model:
+    """The trees of ``pages``; ``counts`` are those of all pages, by default of ``pages``."""
+    read = [read_lines(p, shares) for p in pages]
+    counts = counts or count_pages(read)
+    model = Model(shares, counts.words, counts.lines)
     labels = [label(lines, model.lines) for lines in read]
-    counts = Counter(), Counter()
-    for lines, y in zip(read, labels, strict=True):
-        for x, v in zip(lines, y, strict=True):
-            if v >= 0:
-                counts[v].update(set(x.words))
-    total = [max(1, c.total()) for c in counts]
-    for w in counts[0] | counts[1]:
-        if counts[0][w] + counts[1][w] > 2:
-            model.words[w] = max(-4.0, min(4.0, log((counts[1][w] + 0.5) / total[1]) - log((counts[0][w] + 0.5) / total[0])))
     xs = [np.zeros((0, FEATURES), np.float32), *(node_features(lines, model)[y >= 0] for lines, y in zip(read, labels, strict=True))]
     model.trees = fit_trees(np.concatenate(xs), np.concatenate([np.zeros(0), *(y[y >= 0] for y in labels)]).astype(float))
     return model
@@ -398,14 +488,14 @@ def repeated_lines(df: DataFrame, text: str) -> dict[int, float]:
 def model_for(df: DataFrame, ident: str, text: str, sample: int = SAMPLE) -> Model:
     shares = repeated_lines(df, text)
     rows = bounded_sample(df.select(ident, text), ident, sample).select(text).where(F.trim(text) != "")
-    return fit([r[0] for r in rows.toLocalIterator()], shares)
+    return fit([r[0] for r in rows.toLocalIterator()], shares, count_all(df, text, shares))
 
 
 def page_lines(df: DataFrame, ident: str, text: str, sample: int = SAMPLE) -> DataFrame:
     """ident, lines (array of the numbers of lines that aren't the article's); no shuffle."""
     require(df, ident, text)
     rows = df.select(ident, df[text].alias("_page"))
-    held = rows.sparkSession.sparkContext.broadcast(model_for(rows, ident, "_page", sample))  # bounded: TREES trees, the words of a bounded sample, the repeated lines
+    held = rows.sparkSession.sparkContext.broadcast(model_for(rows, ident, "_page", sample))  # bounded: TREES trees, VOCABULARY words, the repeated lines
     schema = T.StructType([df.schema[ident], T.StructField("lines", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
