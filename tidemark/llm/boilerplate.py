@@ -66,6 +66,8 @@ ATTRIBUTES = {
 NAMES = list(ATTRIBUTES)
 #: By word, or by two words in a row; signs are looked for by themselves.
 _TOKENS = {w: 1 << k for k, words in enumerate(ATTRIBUTES.values()) for w in words.replace("-", " ").split("|") if w[0].isalpha()}
+#: Words without which a line has no token.
+_STARTS = frozenset(w.partition(" ")[0] for w in _TOKENS)
 _SIGNS = [(w, 1 << k) for k, words in enumerate(ATTRIBUTES.values()) for w in words.split("|") if not w[0].isalpha()]
 _ITEMS = re.compile(r"\s*[|·›\t]\s*|\s{3,}")
 _CRUMB = re.compile(r"^[^.:]{2,40}(?:\s[/>»›]\s[^.:/>»›]{2,40}){1,4}$")
@@ -109,18 +111,17 @@ def read_line(text: str) -> tuple:
     far = bool(_FAR.search(text))
     bare = _BULLET.sub("", text)
     items = sum(1 for i in _ITEMS.split(text) if i) if any(c in text for c in "|·›\t") or "   " in text else 1
-    parts = [w.strip() for w in text.split(",")] if "," in text else []
     end = bare.rstrip(CLOSE)[-1:]
-    listed = end not in ENDS and 1 < len(parts) <= 6 and text in (low, text.upper()) and all(0 < len(w.split()) <= 3 for w in parts)
+    listed = end not in ENDS and 0 < text.count(",") < 6 and text in (low, text.upper()) and all(0 < len(w.split()) <= 3 for w in text.split(","))
     words = [a + b for a, b in zip(low, low[1:], strict=False) if a.isalpha() and b.isalpha()] if far else _WORD.findall(low)
     cues, past = 0, ""
-    for w in words:
+    for w in () if _STARTS.isdisjoint(words) else words:
         cues |= _TOKENS.get(w, 0) | _TOKENS.get(f"{past} {w}", 0)
         past = w
     for w, k in _SIGNS:
         cues |= k if w in low else 0
     key = xxhash.xxh64_intdigest(low.translate(_DIGITS).encode(errors="surrogatepass"), 42)
-    return key - (1 << 64) if key >= 1 << 63 else key, words, cues, items, _prose(bare, far), bare != text, bool(_DECOR.search(text)), bool(_CRUMB.match(text)), listed, far
+    return key - (1 << 64) if key >= 1 << 63 else key, words, cues, items, _prose(bare, far), bare != text, (text[-1:].isalnum() or text[-1:] in "_)’' -") and bool(_DECOR.search(text)), bool(_CRUMB.match(text)), listed, far
 
 
 #: Furniture repeats, so what is read off short lines is kept.
