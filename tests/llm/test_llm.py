@@ -258,6 +258,73 @@ def test_boilerplate_reads_long_lines():
     assert all(p.count("\n") + 1 in x for p, x in zip(pages, boilerplate.furniture_lines(pages, model), strict=True))
 
 
+def test_boilerplate_steps_of_long_lines():
+    import sys
+
+    def steps(words):
+        rng = random.Random(words)
+        pages = ["\n".join(" ".join(rng.choice(["Dams", "weigh", "tolls", "naïve", "—", "1,200"]) for _ in range(words)) + "." for _ in range(10)) for _ in range(20)]
+        n = 0
+
+        def count(frame, event, what):
+            nonlocal n
+            n += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            boilerplate.furniture_lines(pages, model)
+        finally:
+            sys.setprofile(None)
+        return n
+
+    pages = [p for p, _ in site_pages(100)]
+    model = boilerplate.fit(pages, boilerplate.shares_of(pages))
+    steps(100)
+    # a call for every word would take eight times as many
+    assert steps(1000) < 1.5 * steps(100)
+
+
+def test_boilerplate_reads_odd_lines():
+    import re
+
+    odd = ["Kelvin \u212a Straße ﬁn ƒ² x²y", "İstanbul’s “naïve” œuvre — 1,200 m² ª º µ", "Read more, read_next", "see\u00a0also the droits réservés", "mots-clés: read mots clés", "Русский текст 5", "a\u0301b c", "x\x81y\x85z", "隐私 policy 公司", "一、二 abc", "→ next » © 2024", "한국어 login", "𝐀bc ① ٣"]
+    for t in odd:
+        low = t.lower()
+        far = bool(re.search("[぀-ヿ㐀-鿿가-힯]", t))
+        want = [a + b for a, b in zip(low, low[1:], strict=False) if a.isalpha() and b.isalpha()] if far else re.findall(r"[^\W\d_]+", low)
+        cues = 0
+        for k, tokens_of in enumerate(boilerplate.ATTRIBUTES.values()):
+            for w in tokens_of.replace("-", " ").split("|"):
+                seen = f" {' '.join(want)} ".find(f" {w} ") >= 0 if w[0].isalpha() else w in low
+                cues |= seen << k
+        got = boilerplate.read_line(t)
+        assert (got[1], got[9], got[2]) == (want, far, cues), t
+
+
+def test_boilerplate_features_by_page():
+    import numpy as np
+
+    pages = [p for p, _ in site_pages(60)]
+    model = boilerplate.fit(pages, boilerplate.shares_of(pages))
+    pages = ["", "Home", *pages, "\n \n", "Most read\nA title\n\n" + TEXT, TEXT]
+    read = [boilerplate.read_lines(p, model.shares) for p in pages]
+    parts = [boilerplate.sections(x) for x in read]
+    alone = [boilerplate.node_features([x], [s], model) for x, s in zip(read, parts, strict=True)]
+    together = boilerplate.node_features(read, parts, model)
+    assert np.allclose(together, np.concatenate(alone), rtol=1e-6, atol=0) and len(together) == sum(map(len, read))
+    for x, sects, f in zip(read, parts, alone, strict=True):
+        for first, end, _ in sects:
+            size = np.array([len(y.text) for y in x[first:end]], float)
+            assert np.allclose(f[first:end, [2, 5]], [size.mean(), size.std()], rtol=1e-5)
+        for i, (y, v) in enumerate(zip(x, f.tolist(), strict=True)):
+            odds = [model.words.get(w, 0.0) for w in y.words] or [0.0]
+            assert np.allclose(v[24:27], [sum(odds) / len(odds), max(odds), min(odds)], atol=1e-6)
+            past, coming = [j for j in range(i) if x[j].sentence], [j for j in range(i + 1, len(x)) if x[j].sentence]
+            assert v[31:33] == [len(past), len(coming)] and v[33:35] == [min(20, i - past[-1] if past else 20), min(20, coming[0] - i if coming else 20)]
+            assert v[35] == (0 if i == 0 else np.log1p(np.float32(len(x[i - 1].text)))) and v[40] == (i + 1 < len(x) and x[i + 1].share > 0)
+    assert boilerplate.furniture_lines(pages, model) == [boilerplate.furniture_lines([p], model)[0] for p in pages]
+
+
 # --- 4 ---------------------------------------------------------------------------------------
 
 

@@ -31,7 +31,9 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, repeat
 from math import log, log1p
+from struct import Struct
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +68,9 @@ ATTRIBUTES = {
 NAMES = list(ATTRIBUTES)
 #: By word, or by two words in a row; signs are looked for by themselves.
 _TOKENS = {w: 1 << k for k, words in enumerate(ATTRIBUTES.values()) for w in words.replace("-", " ").split("|") if w[0].isalpha()}
-#: Words without which a line has no token.
+#: Words without which a line has no token; those of them that begin one of two words.
 _STARTS = frozenset(w.partition(" ")[0] for w in _TOKENS)
+_PAIRS = frozenset(w.partition(" ")[0] for w in _TOKENS if " " in w)
 _SIGNS = [(w, 1 << k) for k, words in enumerate(ATTRIBUTES.values()) for w in words.split("|") if not w[0].isalpha()]
 _ITEMS = re.compile(r"\s*[|·›\t]\s*|\s{3,}")
 _CRUMB = re.compile(r"^[^.:]{2,40}(?:\s[/>»›]\s[^.:/>»›]{2,40}){1,4}$")
@@ -75,7 +78,11 @@ _BULLET = re.compile(r"^(?:[-*•–·▪→»>]\s+)+")
 _DECOR = re.compile(r"(?:\s+—\s+\d{1,2} \w+ \d{4}|\s*\(\d+ min(?:utes?)? read\)|\s+\|\s+[\w’' -]{2,30}|\s{1,}\d+ \w{4,14}|\s{1,}\d+ 条评论)+$", re.I)
 _FAR = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 _WORD = re.compile(r"[^\W\d_]+")
-_DIGITS = str.maketrans("0123456789", "#" * 10)
+_DIGITS = bytes.maketrans(b"0123456789", b"#" * 10)
+#: Each sign of a one-byte encoding, those that no word has as blanks.
+_BLANKED = bytes(k if _WORD.match(bytes([k]).decode("cp1252", "replace")) else 32 for k in range(256))
+#: Features of a line that its text alone decides, and their columns.
+_FIGURES, _COLUMNS = Struct("12f"), [7, 8, 10, 11, 12, 13, 15, 16, 17, 18, 19, 23]
 
 
 @dataclass(slots=True)
@@ -96,43 +103,73 @@ class Line:
     crumb: bool
     listed: bool  # short phrases parted by commas only
     far: bool  # ideographs or syllables
+    figures: bytes  # features that the text alone decides
     share: float = 0.0  # of the pages that have the line
     sentence: bool = False  # running text: prose that pages don't repeat
 
 
-def _prose(bare: str, far: bool) -> bool:
-    end, n = bare.rstrip(CLOSE)[-1:], len(bare)
+def _prose(end: str, n: int, far: bool) -> bool:
     return (end in ENDS and end != "" and n >= (10 if far else 28)) or n >= (45 if far else 140)
 
 
+def _words(low: str, raw: bytes) -> tuple[list[str], bool]:
+    """Words of a line in small letters (``raw`` in UTF-8), or its pairs of signs if it has ideographs or syllables; whether it has."""
+    if low.isascii():
+        return raw.translate(_BLANKED).decode().split(), False
+    try:
+        return low.encode("cp1252").translate(_BLANKED).decode("cp1252").split(), False
+    except UnicodeEncodeError:
+        pass
+    if _FAR.search(low):
+        return [a + b for a, b in zip(low, low[1:], strict=False) if a.isalpha() and b.isalpha()], True
+    return _WORD.findall(low), False
+
+
+def _cues(low: str, words: list[str]) -> int:
+    cues, found = 0, _STARTS.intersection(words)
+    for w in found:
+        cues |= _TOKENS.get(w, 0)
+    if not found.isdisjoint(_PAIRS):
+        for w in zip(words, words[1:], strict=False):
+            cues |= _TOKENS.get(" ".join(w), 0) if w[0] in _PAIRS else 0
+    for w, k in () if low.isascii() else _SIGNS:
+        cues |= k if w in low else 0
+    return cues
+
+
 def read_line(text: str) -> tuple:
-    """key, words, cues, items, prose, bullet, decor, crumb, listed, far of a line's text."""
+    """key, words, cues, items, prose, bullet, decor, crumb, listed, far, figures of a line's text."""
     low = text.lower()
-    far = bool(_FAR.search(text))
-    bare = _BULLET.sub("", text)
-    items = sum(1 for i in _ITEMS.split(text) if i) if any(c in text for c in "|·›\t") or "   " in text else 1
-    end = bare.rstrip(CLOSE)[-1:]
-    listed = end not in ENDS and 0 < text.count(",") < 6 and text in (low, text.upper()) and all(0 < len(w.split()) <= 3 for w in text.split(","))
-    words = [a + b for a, b in zip(low, low[1:], strict=False) if a.isalpha() and b.isalpha()] if far else _WORD.findall(low)
-    cues, past = 0, ""
-    for w in () if _STARTS.isdisjoint(words) else words:
-        cues |= _TOKENS.get(w, 0) | _TOKENS.get(f"{past} {w}", 0)
-        past = w
-    for w, k in _SIGNS:
-        cues |= k if w in low else 0
-    key = xxhash.xxh64_intdigest(low.translate(_DIGITS).encode(errors="surrogatepass"), 42)
-    return key - (1 << 64) if key >= 1 << 63 else key, words, cues, items, _prose(bare, far), bare != text, (text[-1:].isalnum() or text[-1:] in "_)’' -") and bool(_DECOR.search(text)), bool(_CRUMB.match(text)), listed, far
+    raw = low.encode(errors="surrogatepass")
+    masked = raw.translate(_DIGITS)
+    words, far = _words(low, raw)
+    bare = _BULLET.sub("", text) if text[0] in "-*•–·▪→»>" else text
+    items = sum(1 for i in _ITEMS.split(text) if i) if "|" in text or "·" in text or "›" in text or "\t" in text or "   " in text else 1
+    end, last, commas = bare.rstrip(CLOSE)[-1:], text[-1], text.count(",")
+    listed = end not in ENDS and 0 < commas < 6 and text in (low, text.upper()) and all(0 < len(w.split()) <= 3 for w in text.split(","))
+    prose, bullet = _prose(end, len(bare), far), bare != text
+    decor = (last.isalnum() or last in "_)’' -") and bool(_DECOR.search(text))
+    crumb = ("/" in text or ">" in text or "»" in text or "›" in text) and bool(_CRUMB.match(text))
+    ends = text.count(".") + text.count("!") + text.count("?") + (0 if text.isascii() else sum(map(text.count, "。！？…")))
+    digits = masked.count(b"#") - raw.count(b"#")
+    figures = _FIGURES.pack(log1p(len(text)), len(words), ends, bullet, text[0] in "“\"«„「", digits / len(text), items, prose, crumb, decor, listed, commas)
+    key = xxhash.xxh64_intdigest(masked, 42)
+    return key - (1 << 64) if key >= 1 << 63 else key, words, _cues(low, words), items, prose, bullet, decor, crumb, listed, far, figures
+
+
+def _upper(text: str) -> float:
+    return sum(map(str.isupper, text)) / len(text)
 
 
 #: Furniture repeats, so what is read off short lines is kept.
-_kept = lru_cache(1 << 15)(read_line)
+_kept, _kept_upper = lru_cache(1 << 15)(read_line), lru_cache(1 << 15)(_upper)
 
 
 def read_lines(page: str, shares: dict[int, float] | None = None) -> list[Line]:
     out, blank = [], True
     for no, raw in enumerate(page.split("\n"), 1):
         text = raw.strip(EDGE)
-        if not text or not text.strip():
+        if not text or text.isspace():
             blank = True
             continue
         x = Line(no, text, len(raw) - len(raw.lstrip()), blank, *(_kept if len(text) < 80 else read_line)(text))
@@ -168,52 +205,56 @@ FEATURES = 42 + len(NAMES)
 _NOTHING = (0.0,)
 
 
-def node_features(lines: list[Line], model: Model) -> np.ndarray:
-    """One row of features a line."""
+def node_features(read: list[list[Line]], parts: list[list[tuple[int, int, bool]]], model: Model) -> np.ndarray:
+    """One row of features a line, of all pages in turn; ``parts`` are their sections."""
+    lines = list(chain.from_iterable(read))
     n = len(lines)
     out = np.zeros((n, FEATURES), np.float32)
     if not n:
         return out
-    size = np.array([len(x.text) for x in lines], np.float32)
-    sent = np.array([x.sentence for x in lines], bool)
-    before = np.concatenate([[0], np.cumsum(sent)])[:-1]
-    after = sent.sum() - before - sent
+    count = np.array([len(x) for x in read if x])
+    page = np.repeat(np.arange(len(count)), count)
+    start, stop = (np.cumsum(count) - count)[page], np.cumsum(count)[page]
     at = np.arange(n)
-    last = np.maximum.accumulate(np.where(sent, at, -99))
-    gap_before = np.minimum(at - np.concatenate([[-99], last[:-1]]), 20)
-    coming = np.minimum.accumulate(np.where(sent, at, n + 99)[::-1])[::-1]
-    gap_after = np.minimum(np.concatenate([coming[1:], [n + 99]]) - at, 20) if n else at
+    size = np.array([len(x.text) for x in lines], float)
+    sent = np.array([x.sentence for x in lines], bool)
+    past = np.concatenate([[0], np.cumsum(sent)])
+    last = np.concatenate([[-1], np.maximum.accumulate(np.where(sent, at, -1))[:-1]])
+    coming = np.concatenate([np.minimum.accumulate(np.where(sent, at, n)[::-1])[::-1][1:], [n]])
     share = np.array([x.share for x in lines], np.float32)
-    for first, end, headed in sections(lines):
-        s = slice(first, end)
-        out[s, 0] = headed
-        out[s, 1] = end - first
-        out[s, 2] = size[s].mean()
-        out[s, 3] = (size[s] * sent[s]).sum() / size[s].sum()
-        out[s, 4] = np.arange(end - first)
-        out[s, 5] = size[s].std()
-        out[s, 6] = (share[s] > 0).mean()
-    rows, odds, outside = [], model.words, model.lines
-    for x in lines:
-        t = x.text
-        upper = 0.0 if x.sentence else sum(map(str.isupper, t)) / len(t)
-        w = [odds.get(y, 0.0) for y in x.words] or _NOTHING
-        known = outside.get(x.key, (0, 0.5)) if x.share else (0, 0.5)
-        rows.append((
-            log1p(len(t)), len(x.words), x.sentence, sum(map(t.count, ENDS)), x.bullet, t[0] in "“\"«„「", sum(map(t.count, "0123456789")) / len(t), upper, x.items,
-            x.prose, x.crumb, x.decor, x.listed, x.indent, x.blank_before, x.far, t.count(","),
-            sum(w) / len(w), max(w), min(w), log(x.share + 1e-6), known[1], known[0],
-        ))
-    out[:, 7:30] = rows
-    cues = np.array([x.cues for x in lines])
-    out[:, 42 : 42 + len(NAMES)] = cues[:, None] >> np.arange(len(NAMES)) & 1
-    out[:, 30] = np.arange(n) / n
-    out[:, 31], out[:, 32] = before, after
-    out[:, 33], out[:, 34] = gap_before, gap_after
-    out[1:, 35], out[:-1, 36] = np.log1p(size[:-1]), np.log1p(size[1:])
-    out[1:, 37], out[:-1, 38] = out[:-1, 24], out[1:, 24]
-    out[1:, 39], out[:-1, 40] = share[:-1] > 0, share[1:] > 0
-    out[:, 41] = sent.sum()
+    # sections
+    long = np.array([end - first for x in parts for first, end, _ in x])
+    section, first = np.repeat(np.arange(len(long)), long), np.cumsum(long) - long
+    mean = lambda x: np.add.reduceat(x, first) / long
+    out[:, 0] = np.array([headed for x in parts for _, _, headed in x])[section]
+    out[:, 1] = long[section]
+    out[:, 2] = mean(size)[section]
+    out[:, 3] = (np.add.reduceat(size * sent, first) / np.add.reduceat(size, first))[section]
+    out[:, 4] = at - first[section]
+    out[:, 5] = np.sqrt(mean((size - mean(size)[section]) ** 2))[section]
+    out[:, 6] = mean((share > 0).astype(float))[section]
+    # lines
+    out[:, _COLUMNS] = np.frombuffer(b"".join([x.figures for x in lines]), np.float32).reshape(n, -1)
+    out[:, 9] = sent
+    out[:, 14] = [0.0 if x.sentence else (_kept_upper if len(x.text) < 80 else _upper)(x.text) for x in lines]
+    out[:, 20], out[:, 21], out[:, 22] = [x.indent for x in lines], [x.blank_before for x in lines], [x.far for x in lines]
+    words = [x.words or ("",) for x in lines]
+    many = np.array([len(x) for x in words])
+    odds = np.fromiter(map(model.words.get, chain.from_iterable(words), repeat(0.0)), float, many.sum())
+    begin = np.cumsum(many) - many
+    out[:, 24], out[:, 25], out[:, 26] = np.add.reduceat(odds, begin) / many, np.maximum.reduceat(odds, begin), np.minimum.reduceat(odds, begin)
+    out[:, 27] = [log(x.share + 1e-6) for x in lines]
+    known = [model.lines.get(x.key, (0, 0.5)) if x.share else (0, 0.5) for x in lines]
+    out[:, 28], out[:, 29] = [k[1] for k in known], [k[0] for k in known]
+    out[:, 42 : 42 + len(NAMES)] = np.array([x.cues for x in lines])[:, None] >> np.arange(len(NAMES)) & 1
+    # places
+    out[:, 30] = (at - start) / (stop - start)
+    out[:, 31], out[:, 32] = past[:-1] - past[start], past[stop] - past[1:]
+    out[:, 33], out[:, 34] = np.where(last >= start, np.minimum(at - last, 20), 20), np.where(coming < stop, np.minimum(coming - at, 20), 20)
+    for k, of in ((35, np.log1p(size.astype(np.float32))), (37, out[:, 24].copy()), (39, share > 0)):
+        out[1:, k], out[:-1, k + 1] = of[:-1], of[1:]
+        out[at == start, k] = out[at == stop - 1, k + 1] = 0
+    out[:, 41] = past[stop] - past[start]
     return out
 
 
@@ -317,38 +358,40 @@ class Model:
     trees: Trees | None = None
 
 
-def decode(lines: list[Line], logit: np.ndarray) -> np.ndarray:
-    """True for furniture: the labelling of the tree with the greatest likelihood among those without contradiction.
+def decode_pages(read: list[list[Line]], parts: list[list[tuple[int, int, bool]]], logit: np.ndarray) -> np.ndarray:
+    """True for furniture, of the lines of all pages in turn: of each page the labelling of the tree with the greatest likelihood among those without contradiction.
 
     A headed section is furniture as a whole, or its heading is article and the rest is free. A
     page is free, or has no article; it has one only with a line of running text in it.
     """
     z = np.clip(logit, -12, 12)
-    yes, no = -np.log1p(np.exp(-z)), -np.log1p(np.exp(z))
-    out = z > 0
-    for first, end, headed in sections(lines):
-        if headed:
-            whole = yes[first:end].sum()
-            free = no[first] + np.maximum(yes[first + 1 : end], no[first + 1 : end]).sum()
-            out[first:end] = True if whole >= free or out[first] else out[first:end]
-    kept = ~out
-    if kept.any() and not any(k and x.sentence for k, x in zip(kept, lines, strict=True)):
-        out[:] = True
+    out, at = z > 0, 0
+    for lines, sects in zip(read, parts, strict=True):
+        for first, end, headed in sects:
+            if headed:
+                s = slice(at + first, at + end)
+                yes, no = -np.log1p(np.exp(-z[s])), -np.log1p(np.exp(z[s]))
+                free = no[0] + np.maximum(yes[1:], no[1:]).sum()
+                if yes.sum() >= free or out[s][0]:
+                    out[s] = True
+        kept = out[at : at + len(lines)].tolist()
+        if not all(kept) and all(k or not x.sentence for k, x in zip(kept, lines, strict=True)):
+            out[at : at + len(lines)] = True
+        at += len(lines)
     return out
 
 
-def furniture_lines(pages: list[str], model: Trees) -> list[list[int]]:
+def decode(lines: list[Line], logit: np.ndarray) -> np.ndarray:
+    """As ``decode_pages``, of one page."""
+    return decode_pages([lines], [sections(lines)], logit)
+
+
+def furniture_lines(pages: list[str], model: Model) -> list[list[int]]:
     """Numbers of the lines of each page that aren't the article's."""
     read = [read_lines(p, model.shares) for p in pages]
-    feats = [node_features(x, model) for x in read]
-    if not any(len(f) for f in feats):
-        return [[] for _ in pages]
-    z, at, out = model.trees.logit(np.concatenate(feats)), 0, []
-    for lines in read:
-        bad = decode(lines, z[at : at + len(lines)])
-        at += len(lines)
-        out.append([x.no for x, b in zip(lines, bad, strict=True) if b])
-    return out
+    parts = [sections(x) for x in read]
+    bad = iter(decode_pages(read, parts, model.trees.logit(node_features(read, parts, model))).tolist())
+    return [[x.no for x, b in zip(lines, bad, strict=False) if b] for lines in read]
 
 
 class Tally:
@@ -360,6 +403,7 @@ class Tally:
 
     def add(self, lines: list[Line]) -> None:
         first, last = span(lines)
+        words: tuple[list, list] = [], []
         for i, (x, v) in enumerate(zip(lines, label(lines, None).tolist(), strict=True)):
             if x.share:
                 c = self.lines.setdefault(x.key, [0, 0, 0, None])
@@ -369,7 +413,9 @@ class Tally:
                     c[2] += 1
                     c[3] = c[3] or sorted(set(x.words))
             if 0 <= v <= 1:
-                self.words[v].update(set(x.words))
+                words[v].extend(set(x.words))
+        for c, w in zip(self.words, words, strict=True):
+            c.update(w)
 
     def __len__(self) -> int:
         return len(self.lines) + sum(map(len, self.words))
@@ -450,9 +496,13 @@ def fit(pages: list[str], shares: dict[int, float], counts: Counts | None = None
     read = [read_lines(p, shares) for p in pages]
     counts = counts or count_pages(read)
     model = Model(shares, counts.words, counts.lines)
-    labels = [label(lines, model.lines) for lines in read]
-    xs = [np.zeros((0, FEATURES), np.float32), *(node_features(lines, model)[y >= 0] for lines, y in zip(read, labels, strict=True))]
-    model.trees = fit_trees(np.concatenate(xs), np.concatenate([np.zeros(0), *(y[y >= 0] for y in labels)]).astype(float))
+    xs, ys = [np.zeros((0, FEATURES), np.float32)], [np.zeros(0)]
+    for at in range(0, len(read), 512):
+        part = read[at : at + 512]
+        y = np.concatenate([label(lines, model.lines) for lines in part])
+        xs.append(node_features(part, [sections(x) for x in part], model)[y >= 0])
+        ys.append(y[y >= 0].astype(float))
+    model.trees = fit_trees(np.concatenate(xs), np.concatenate(ys))
     return model
 
 
